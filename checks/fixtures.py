@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.functions import alleles
-from cohortspark.operators import bed, calls as call_ops
+from cohortspark.operators import bed
 from cohortspark.shared import shared_path
 
 # The interval sets, groups and strata that occur in the tables.
@@ -96,24 +95,21 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long calls with ``filters`` and allele numbers, as the call operators take them."""
-    rows = (
+    stored = {name: text for name, text in CALL_COLUMNS.items() if name not in ("vfilter", "gt")}
+    # Allele numbers of the GT text in CALL_COLUMNS.
+    numbers = {
+        "a1": "CASE WHEN l_quantity <= 5 THEN NULL WHEN l_quantity <= 10 OR l_linestatus = 'F' THEN 0 ELSE 1 END",
+        "a2": "CASE WHEN l_quantity <= 5 THEN NULL WHEN l_quantity <= 10 THEN 0 ELSE 1 END",
+    }
+    filters = {
+        "filters": "CASE WHEN (l_partkey + l_linenumber) % 4 = 0 THEN array('LowQual') "
+        "WHEN (l_partkey + l_linenumber) % 4 = 1 THEN NULL ELSE CAST(array() AS ARRAY<STRING>) END"
+    }
+    return (
         table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .selectExpr(*projection(CALL_COLUMNS))
-    )
-    filters = F.when(F.col("vfilter") == "PASS", F.array().cast("array<string>")).when(
-        F.col("vfilter").isNotNull(), F.array("vfilter")
+        .selectExpr(*projection({**stored, **numbers, **filters}))
     )
-    return rows.select(
-        "sample_id", "contig", "pos", "ref", "alt", filters.alias("filters"),
-        alleles.genotype_alleles(F.col("gt")).alias("_g"), "ft",
-    ).select("sample_id", "contig", "pos", "ref", "alt", "filters", "_g.a1", "_g.a2", "ft")
-
-
-def counted_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calls after the site filter and genotype mask, with class and zygosity."""
-    kept = call_ops.passing_calls(call_ops.passing_sites(calls(spark, sf_dir)))
-    return call_ops.with_zygosity(call_ops.classify(kept))
 
 
 def bed_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,7 +187,9 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"CASE WHEN {two} THEN concat(',', CAST((51 - p_size) * 3 AS STRING)) ELSE '' END)"
     )
     flt = "CASE p_partkey % 5 WHEN 0 THEN 'LowQual' WHEN 1 THEN '.' WHEN 2 THEN 'LowQual;Depth' ELSE 'PASS' END"
-    return table(spark, sf_dir, "part").withColumn("keys", keys).selectExpr(
+    # Many shards, as cohort VCFs come: a gzip file is read by one task.
+    part = table(spark, sf_dir, "part").repartition(spark.sparkContext.defaultParallelism)
+    return part.withColumn("keys", keys).selectExpr(
         "concat_ws('\\t', concat('chr', CAST(1 + p_size % 22 AS STRING)), CAST(p_partkey + 5 AS STRING), '.', "
         f"{_case('p_partkey % 6', {k: v[0] for k, v in VCF_ALLELES.items()})}, "
         f"{_case('p_partkey % 6', {k: v[1] for k, v in VCF_ALLELES.items()})}, '50', {flt}, "

@@ -273,13 +273,10 @@ _QUERIES: dict[str, str] = {
       {_CROSS.format('(SELECT min(ancestry) FROM compared)',
                      '(SELECT min(ancestry) FROM compared WHERE ancestry > (SELECT min(ancestry) FROM compared))')}""",
     "q_cross_corr": f"SELECT count(*) AS n_matched, round(corr(x.cohens_d, y.cohens_d), 6) AS r {_CROSS.format(repr('ASIA'), repr('EUROPE'))}",
-    "q_group_means": """SELECT a.ancestry, g.grp, s.set_name, named.metric_type, metric_name,
-      CASE WHEN a.ancestry = 'ASIA' AND g.grp = 'BUILDING' THEN 0.0 ELSE round(avg(value), 6) END AS mean,
-      CASE WHEN a.ancestry = 'ASIA' AND g.grp = 'BUILDING' THEN 0.0 ELSE round(stddev_samp(value), 6) END AS std
-      FROM (SELECT DISTINCT ancestry FROM key_stats) a CROSS JOIN (SELECT DISTINCT grp FROM key_stats) g
-      CROSS JOIN (SELECT DISTINCT set_name FROM key_stats) s CROSS JOIN named
-      LEFT JOIN key_stats k ON k.ancestry = a.ancestry AND k.grp = g.grp AND k.set_name = s.set_name AND k.metric_type = named.metric_type
-      GROUP BY ALL""",
+    "q_group_means": """SELECT ancestry, grp, set_name, metric_type, metric_name,
+      CASE WHEN gone THEN 0.0 ELSE round(avg(value), 6) END AS mean, CASE WHEN gone THEN 0.0 ELSE round(stddev_samp(value), 6) END AS std
+      FROM (SELECT *, ancestry = 'ASIA' AND grp = 'BUILDING' AS gone FROM key_stats) JOIN named USING (metric_type)
+      GROUP BY ancestry, grp, set_name, metric_type, metric_name, gone""",
     "q_distributions": f"SELECT ancestry, grp, set_name, metric_type, {_QUARTILES} FROM key_stats WHERE value IS NOT NULL GROUP BY ALL",
     "q_distributions_drawn": f"""SELECT ancestry, grp, set_name, metric_type, {_QUARTILES} FROM key_stats
       WHERE value IS NOT NULL AND sample_id IN (SELECT sample_id FROM (SELECT sample_id,

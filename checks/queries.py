@@ -73,7 +73,8 @@ def q_subsample(spark, sf_dir):
 
 @query
 def q_site_filter(spark, sf_dir):
-    rows = fx.counted_calls(spark, sf_dir)
+    kept = call_ops.passing_calls(call_ops.passing_sites(fx.calls(spark, sf_dir)))
+    rows = call_ops.with_zygosity(call_ops.classify(kept))
     return rows.groupBy("contig", "allele_class", "zygosity").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -107,12 +108,12 @@ def q_membership_shuffled(spark, sf_dir):
 
 
 def sample_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fx.counted_calls(spark, sf_dir).filter("zygosity IS NOT NULL AND allele_class <> 'other'")
-    placed = membership.attach_sets(
+    kept = call_ops.carriers(call_ops.passing_sites(fx.calls(spark, sf_dir)))
+    rows = call_ops.with_zygosity(call_ops.classify(call_ops.keep_samples(kept, fx.samples(spark, sf_dir))))
+    carriers = membership.attach_sets(
         rows.select("sample_id", "contig", "pos", "allele_class", "zygosity"),
         fx.site_sets(spark, sf_dir), block_bp=fx.BLOCK_BP,
     )
-    carriers = call_ops.keep_samples(placed, fx.samples(spark, sf_dir))
     # Every sample of the callset, with or without a call that counts.
     header = fx.table(spark, sf_dir, "orders").selectExpr("CAST(o_custkey AS STRING) AS sample_id").distinct()
     return counting.sample_counts(carriers, header, fx.SETS)

@@ -78,6 +78,10 @@ def passing_calls(calls: DataFrame) -> DataFrame:
     return calls.withColumn("a1", F.when(keep, F.col("a1"))).withColumn("a2", F.when(keep, F.col("a2")))
 
 
+def _carrier(a1: Column, a2: Column) -> Column:
+    return (F.coalesce(a1, F.lit(0)) > 0) | (F.coalesce(a2, F.lit(0)) > 0)
+
+
 def explode_carriers(sites: DataFrame, filter_ft: bool = True) -> DataFrame:
     """Long calls of a site row, keeping only calls that some counter can count.
 
@@ -86,7 +90,7 @@ def explode_carriers(sites: DataFrame, filter_ft: bool = True) -> DataFrame:
     """
 
     def counts(call: Column) -> Column:
-        carrier = (F.coalesce(call["a1"], F.lit(0)) > 0) | (F.coalesce(call["a2"], F.lit(0)) > 0)
+        carrier = _carrier(call["a1"], call["a2"])
         return carrier & alleles.call_passes(call["ft"]) if filter_ft else carrier
 
     rest = [c for c in sites.columns if c != "calls"]
@@ -95,6 +99,17 @@ def explode_carriers(sites: DataFrame, filter_ft: bool = True) -> DataFrame:
     )
 
 
+def carriers(calls: DataFrame, filter_ft: bool = True) -> DataFrame:
+    """The same choice on long calls: those with an alternate allele that are not masked.
+
+    It tests stored columns only. A filter on the computed class or zygosity would be pushed
+    below their projection and drag a second copy of both expressions into the scan's
+    generated code, past the size the JVM compiles.
+    """
+    kept = calls.filter(_carrier(F.col("a1"), F.col("a2")))
+    return kept.filter(alleles.call_passes(F.col("ft"))) if filter_ft else kept
+
+
 def classify(rows: DataFrame) -> DataFrame:
     """Add ``allele_class``; do it on sites, before exploding, where sites are at hand."""
     return rows.withColumn("allele_class", alleles.allele_class(F.col("ref"), F.col("alt")))
@@ -110,7 +125,6 @@ def keep_samples(calls: DataFrame, labels: DataFrame, broadcast_ids: int = 2_000
     Above the limit the calls come back unchanged: the label join after counting drops
     the same samples, without shuffling the calls.
     """
-    ids = labels.select("sample_id").distinct()
-    if ids.limit(broadcast_ids + 1).count() > broadcast_ids:
+    if labels.count() > broadcast_ids:
         return calls
-    return calls.join(F.broadcast(ids), "sample_id", "left_semi")
+    return calls.join(F.broadcast(labels.select("sample_id")), "sample_id", "left_semi")

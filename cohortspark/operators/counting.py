@@ -34,9 +34,7 @@ def sample_counts(carriers: DataFrame, samples: DataFrame, set_names: list[str])
     counter counts, so filling needs no second shuffle and no join; partial aggregation
     absorbs a sample that owns a third of the calls.
     """
-    counted = carriers.select("sample_id", "set_name", "allele_class", "zygosity").filter(
-        F.col("zygosity").isNotNull() & (F.col("allele_class") != "other")
-    )
+    counted = carriers.select("sample_id", "set_name", "allele_class", "zygosity")
     spine = samples.select(
         "sample_id",
         F.explode(F.array(*[F.lit(n) for n in set_names])).alias("set_name"),

@@ -23,7 +23,7 @@ def union_sets(sets: list[DataFrame]) -> DataFrame:
 
 
 def _block(position: Column, block_bp: int) -> Column:
-    return F.floor(position / block_bp).cast("int")
+    return F.call_function("div", position, F.lit(block_bp)).cast("int")
 
 
 def block_index(intervals: DataFrame, block_bp: int = BLOCK_BP) -> DataFrame:

@@ -1,16 +1,116 @@
-"""Principal components of per-sample metrics inside each stratum."""
+"""Principal components of per-sample metrics inside each stratum.
+
+Spark has no grouped covariance, so this is the one place with Python in the tasks: each
+partition folds its Arrow batches into a count, mean and co-moment matrix per stratum, the
+partials are merged in two rounds, and one small matrix per stratum is decomposed. One pass
+over the rows serves all strata, and a stratum with a third of the rows stays spread over
+its partitions.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import cut_lineage
 from . import ranking
 
 MIN_METRICS = 3
 MIN_SAMPLES = 10
+MERGE_FANOUT = 16
+BROADCAST_STRATA = 10_000
+
+
+def _moments(rows: DataFrame, stratum: str, width: int) -> DataFrame:
+    """One row per stratum: ``n, mean, comoment`` (a flattened width x width matrix)."""
+    kind = rows.schema[stratum].dataType.simpleString()
+    fanout = MERGE_FANOUT
+    schema = f"stratum {kind}, part int, n bigint, mean array<double>, comoment array<double>"
+
+    # Nested, so that they travel with the job and executors need no installed package.
+    def merge(a, b):
+        import numpy as np
+
+        n = a[0] + b[0]
+        gap = b[1] - a[1]
+        return n, a[1] + gap * (b[0] / n), a[2] + b[2] + np.outer(gap, gap) * (a[0] * b[0] / n)
+
+    def fold(batches):
+        import numpy as np
+        import pandas as pd
+        from pyspark import TaskContext
+
+        seen = {}
+        for batch in batches:
+            for value, group in batch.groupby("stratum", sort=False):
+                x = np.stack(group["x"].to_numpy())
+                mean = x.mean(axis=0)
+                centred = x - mean
+                part = (len(x), mean, centred.T @ centred)
+                seen[value] = merge(seen[value], part) if value in seen else part
+        part = TaskContext.get().partitionId() % fanout
+        for value, (n, mean, comoment) in seen.items():
+            yield pd.DataFrame(
+                {"stratum": [value], "part": [part], "n": [n], "mean": [mean], "comoment": [comoment.ravel()]}
+            )
+
+    def combine(key, group):
+        import numpy as np
+        import pandas as pd
+
+        total = None
+        for n, mean, flat in zip(group["n"], group["mean"], group["comoment"]):
+            item = (int(n), np.asarray(mean), np.asarray(flat).reshape(width, width))
+            total = item if total is None else merge(total, item)
+        return pd.DataFrame(
+            {"stratum": [key[0]], "part": [0], "n": [total[0]], "mean": [total[1]], "comoment": [total[2].ravel()]}
+        )
+
+    vectors = rows.select(F.col(stratum).alias("stratum"), F.col("_x").alias("x"))
+    partials = vectors.mapInPandas(fold, schema)
+    return partials.groupBy("stratum", "part").applyInPandas(combine, schema).groupBy("stratum").applyInPandas(
+        combine, schema
+    )
+
+
+def _components(moments: DataFrame, stratum: str, width: int) -> DataFrame:
+    """Weights and shares of the first two components of the standardised columns."""
+    kind = moments.schema["stratum"].dataType.simpleString()
+    schema = (
+        f"`{stratum}` {kind}, w1 array<double>, c1 double, w2 array<double>, c2 double, "
+        "percent_1 double, percent_2 double"
+    )
+
+    def decompose(batches):
+        import numpy as np
+        import pandas as pd
+
+        for batch in batches:
+            out = []
+            for value, n, mean, flat in zip(batch["stratum"], batch["n"], batch["mean"], batch["comoment"]):
+                mean = np.asarray(mean)
+                cov = np.asarray(flat).reshape(width, width) / n
+                spread = np.sqrt(np.diag(cov))
+                spread[spread == 0] = 1.0  # a constant column standardises to zeros
+                strengths, axes = np.linalg.eigh(cov / np.outer(spread, spread))
+                whole = strengths.sum()
+                row = [value]
+                for k in (-1, -2):
+                    axis = axes[:, k]
+                    # Component signs are arbitrary: the loading of largest size is made positive.
+                    axis = axis * (1.0 if axis[np.abs(axis).argmax()] >= 0 else -1.0)
+                    weights = axis / spread
+                    row += [weights, float(weights @ mean)]
+                row += [float(100 * strengths[k] / whole) if whole > 0 else 0.0 for k in (-1, -2)]
+                out.append(row)
+            yield pd.DataFrame(out, columns=[stratum, "w1", "c1", "w2", "c2", "percent_1", "percent_2"])
+
+    return moments.mapInPandas(decompose, schema)
+
+
+def _score(weights: str, offset: str) -> Column:
+    products = F.zip_with("_x", weights, lambda x, w: x * w)
+    return F.aggregate(products, F.lit(0.0), lambda total, v: total + v) - F.col(offset)
 
 
 def metric_pca(
@@ -23,45 +123,22 @@ def metric_pca(
 ) -> DataFrame | None:
     """Two components per stratum: ``keep`` columns, pc1, pc2 and their shares of variance.
 
-    Missing values count as 0. None with fewer than three metrics; a stratum with fewer than
-    ten rows is left out. The fit is one distributed pass per stratum over ``rows``, so hand in
-    a materialised table. ``max_samples`` draws a seeded sample per stratum first.
+    Columns are standardised with the population deviation. Missing values count as 0. None
+    with fewer than three metrics; a stratum with fewer than ten rows is left out.
+    ``max_samples`` draws a seeded sample per stratum first.
     """
     if len(features) < MIN_METRICS:
         return None
     if max_samples is not None:
         rows = ranking.first_n(rows, [stratum], seed, [keep[0]], max_samples)
-    filled = rows.select(
-        stratum, *[c for c in keep if c != stratum],
-        *[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(f"_f{i}") for i, c in enumerate(features)],
+    values = [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in features]
+    named = [stratum, *[c for c in keep if c != stratum]]
+    vectors = rows.filter(F.col(stratum).isNotNull()).select(*named, F.array(*values).alias("_x"))
+    moments = _moments(vectors, stratum, len(features)).filter(F.col("n") >= MIN_SAMPLES)
+    # A few kilobytes per stratum, materialised once: the count below decides how to join it.
+    model = cut_lineage(_components(moments, stratum, len(features)))
+    if model.count() <= BROADCAST_STRATA:
+        model = F.broadcast(model)
+    return vectors.join(model, stratum).select(
+        *named, _score("w1", "c1").alias("pc1"), _score("w2", "c2").alias("pc2"), "percent_1", "percent_2"
     )
-    # Strata are ancestries: a few values, read as counts.
-    sizes = filled.groupBy(stratum).agg(F.count(F.lit(1)).alias("n"))
-    wanted = [r[0] for r in sizes.filter((F.col("n") >= MIN_SAMPLES) & F.col(stratum).isNotNull()).toLocalIterator()]
-    assembler = VectorAssembler(inputCols=[f"_f{i}" for i in range(len(features))], outputCol="_raw")
-    parts = []
-    for value in sorted(wanted):
-        mine = assembler.transform(filled.filter(F.col(stratum) == value))
-        scaler = StandardScaler(inputCol="_raw", outputCol="_std", withMean=True, withStd=True).fit(mine)
-        scaled = scaler.transform(mine)
-        model = PCA(k=2, inputCol="_std", outputCol="_pc").fit(scaled)
-        loadings = model.pc.toArray()
-        scored = model.transform(scaled).withColumn("_pc", vector_to_array("_pc"))
-        shares = model.explainedVariance.toArray()
-        # Component signs are arbitrary: the loading of largest size is made positive.
-        flip = [1.0 if loadings[abs(loadings[:, j]).argmax(), j] >= 0 else -1.0 for j in (0, 1)]
-        parts.append(
-            scored.select(
-                stratum, *[c for c in keep if c != stratum],
-                (F.col("_pc")[0] * flip[0]).alias("pc1"),
-                (F.col("_pc")[1] * flip[1]).alias("pc2"),
-                F.lit(100 * float(shares[0])).alias("percent_1"),
-                F.lit(100 * float(shares[1])).alias("percent_2"),
-            )
-        )
-    if not parts:
-        return None
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
