@@ -129,11 +129,11 @@ def metric_pca(
     """
     if len(features) < MIN_METRICS:
         return None
-    if max_samples is not None:
-        rows = ranking.first_n(rows, [stratum], seed, [keep[0]], max_samples)
     values = [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in features]
     named = [stratum, *[c for c in keep if c != stratum]]
     vectors = rows.filter(F.col(stratum).isNotNull()).select(*named, F.array(*values).alias("_x"))
+    if max_samples is not None:
+        vectors = ranking.first_n(vectors, [stratum], seed, [keep[0]], max_samples)
     moments = _moments(vectors, stratum, len(features)).filter(F.col("n") >= MIN_SAMPLES)
     # A few kilobytes per stratum, materialised once: the count below decides how to join it.
     model = cut_lineage(_components(moments, stratum, len(features)))
