@@ -230,7 +230,8 @@ _QUERIES: dict[str, str] = {
     "q_split_multi": """SELECT contig, pos, ref, unnest(string_split(alts, ',')) AS alt, round(greatest(af1, af2), 6) AS max_af,
       CAST(greatest(ac1, ac2) AS BIGINT) AS max_ac FROM fx_sites""",
     "q_membership": "SELECT contig, pos, set_name FROM member",
-    "q_membership_shuffled": "SELECT contig, pos, set_name FROM member",
+    "q_membership_shuffled": """SELECT contig, pos, set_name, count(*) AS n_calls
+      FROM fx_calls JOIN member USING (contig, pos) GROUP BY ALL""",
     "q_sample_counts": f"SELECT sample_id, set_name, {', '.join(COUNTERS)} FROM counts",
     "q_sample_wide": "SELECT sample_id, " + ", ".join(
         f"CAST(sum({m}) FILTER (WHERE set_name = '{s}') AS BIGINT) AS \"{s}_{m}\"" for s in fx.SETS for m in COUNTERS

@@ -98,10 +98,12 @@ def q_membership(spark, sf_dir):
 
 @query
 def q_membership_shuffled(spark, sf_dir):
-    """The same join on its other way: index too large to broadcast, blocks spread over salts."""
-    return membership.membership(
-        fx.calls(spark, sf_dir), fx.site_sets(spark, sf_dir), block_bp=fx.BLOCK_BP, broadcast_entries=0, salts=4
+    """The same join on its other way: index too large to broadcast, hot blocks cut into parts."""
+    points = fx.calls(spark, sf_dir).select("sample_id", "contig", "pos")
+    placed = membership.attach_sets(
+        points, fx.site_sets(spark, sf_dir), block_bp=fx.BLOCK_BP, broadcast_entries=0, min_hot_rows=100
     )
+    return placed.groupBy("contig", "pos", "set_name").agg(F.count(F.lit(1)).alias("n_calls"))
 
 
 # --- counts and metrics -------------------------------------------------------------------

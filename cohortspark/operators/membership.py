@@ -12,9 +12,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import cut_lineage
+
 BLOCK_BP = 2048
 # Entries of the block index that may be broadcast: about 100 bytes each, so under 500 MB.
 BROADCAST_ENTRIES = 4_000_000
+# Beyond that, a block with more than one slice of all points is cut up.
+HOT_SLICES = 65_536
 
 
 def union_sets(sets: list[DataFrame]) -> DataFrame:
@@ -63,18 +67,36 @@ def index_bound(intervals: DataFrame, block_bp: int = BLOCK_BP) -> int:
     return row[0] or 0
 
 
+def _hot_blocks(keyed: DataFrame, min_hot_rows: int) -> DataFrame:
+    """Blocks with more than a slice of all points, and the number of parts to cut them into.
+
+    A slice is 1/65,536 of the points, so there are fewer than 65,536 hot blocks and as many
+    extra parts at most, whatever the data.
+    """
+    sizes = cut_lineage(keyed.groupBy("contig", "_blk").agg(F.count(F.lit(1)).alias("_n")))
+    total = sizes.agg(F.sum("_n").alias("total")).scalar()
+    slice_rows = F.greatest(F.ceil(total / HOT_SLICES), F.lit(min_hot_rows))
+    return cut_lineage(
+        sizes.filter(F.col("_n") > slice_rows).select(
+            F.col("contig").alias("_hot_contig"),
+            F.col("_blk").alias("_hot_block"),
+            F.ceil(F.col("_n") / slice_rows).alias("_parts"),
+        )
+    )
+
+
 def attach_sets(
     points: DataFrame,
     intervals: DataFrame,
     block_bp: int = BLOCK_BP,
     broadcast_entries: int = BROADCAST_ENTRIES,
-    salts: int = 32,
+    min_hot_rows: int = 100_000,
 ) -> DataFrame:
     """One row per (point, containing set): filters points outside all sets and names the sets.
 
     The points, which carry the calls, do not move while the index is small enough to
-    broadcast. Beyond that they are shuffled once by block, spread over ``salts`` parts so
-    that a hot block is shared by many tasks, and the index is repeated per part.
+    broadcast. Beyond that they are shuffled once by block; a hot block is cut into parts
+    and only its index rows are repeated, one copy per part.
     """
     index = block_index(intervals, block_bp)
     keyed = points.withColumn("_blk", _block(F.col("pos"), block_bp))
@@ -86,11 +108,19 @@ def attach_sets(
     if index_bound(intervals, block_bp) <= broadcast_entries:
         joined = keyed.join(F.broadcast(index), inside, "inner")
     else:
+        hot = F.broadcast(_hot_blocks(keyed, min_hot_rows))
+        parts = F.coalesce(F.col("_parts"), F.lit(1).cast("bigint"))
         plain = [c for c, t in points.dtypes if not t.startswith(("array", "map", "struct"))]
-        # A hash of the row, not rand(): a recomputed task must send each row the same way.
-        salted = keyed.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int"))
-        repeated = index.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = salted.join(repeated, inside & (F.col("_salt") == F.col("_part")), "inner")
+        # The row and its partition, not rand(): a recomputed task sends each row the same way,
+        # and equal rows of different partitions still part.
+        part = F.pmod(F.xxhash64(*plain, F.spark_partition_id()), parts)
+        spread = keyed.join(
+            hot, (F.col("contig") == F.col("_hot_contig")) & (F.col("_blk") == F.col("_hot_block")), "left"
+        ).select(*keyed.columns, part.alias("_salt"))
+        repeated = index.join(
+            hot, (F.col("_contig") == F.col("_hot_contig")) & (F.col("_block") == F.col("_hot_block")), "left"
+        ).select(*index.columns, F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("_part"))
+        joined = spread.join(repeated, inside & (F.col("_salt") == F.col("_part")), "inner")
     return joined.select(*points.columns, "set_name")
 
 

@@ -73,7 +73,8 @@ def discover_beds(spark: SparkSession, folder: str) -> dict[str, str]:
     return found
 
 
-def _present(spark: SparkSession, paths: dict[str, str], on_missing: str) -> dict[str, str]:
+def present_sets(spark: SparkSession, paths: dict[str, str], on_missing: str) -> dict[str, str]:
+    """The named paths that exist; a missing one is an error, or left out with ``skip``."""
     if on_missing not in ("error", "skip"):
         raise ValueError("on_missing is 'error' or 'skip'")
     there = {name: path for name, path in paths.items() if files.exists(spark, path)}
@@ -87,7 +88,7 @@ def _present(spark: SparkSession, paths: dict[str, str], on_missing: str) -> dic
 
 def read_site_sets(spark: SparkSession, paths: dict[str, str], on_missing: str = "error") -> DataFrame:
     """``(set_name, contig, start, end)`` of named files. Skipped sets are left out altogether."""
-    there = _present(spark, paths, on_missing)
+    there = present_sets(spark, paths, on_missing)
     return membership.union_sets(
         [read_sites(spark, path).withColumn("set_name", F.lit(name)) for name, path in there.items()]
     ).select("set_name", "contig", "start", "end")
@@ -95,5 +96,5 @@ def read_site_sets(spark: SparkSession, paths: dict[str, str], on_missing: str =
 
 def read_bed_sets(spark: SparkSession, paths: dict[str, str], on_missing: str = "error") -> DataFrame:
     """Named BED files for the interval tools, as one frame."""
-    there = _present(spark, paths, on_missing)
+    there = present_sets(spark, paths, on_missing)
     return bed_ops.named_union({name: read_bed(spark, path) for name, path in there.items()})

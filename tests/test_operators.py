@@ -22,7 +22,7 @@ def brute_membership(points, intervals):
     })
 
 
-@pytest.mark.parametrize("way", [{}, {"broadcast_entries": 0, "salts": 3}, {"block_bp": 7}])
+@pytest.mark.parametrize("way", [{}, {"broadcast_entries": 0, "min_hot_rows": 5}, {"broadcast_entries": 0}, {"block_bp": 7}])
 def test_membership_against_brute_force(spark, way):
     rng = random.Random(1)
     intervals = [
@@ -38,6 +38,20 @@ def test_membership_against_brute_force(spark, way):
     assert rows_of(got) == brute_membership(points, [i for i in intervals if i[2] <= i[3]])
 
 
+def test_hot_block_is_cut_and_whole(spark):
+    """A third of the points are copies of one row; its block is cut, and no row is lost or doubled."""
+    points = spark.range(30_000).repartition(8).selectExpr(
+        "'chr1' AS contig", "CAST(CASE WHEN id % 3 = 0 THEN 700 ELSE id END AS INT) AS pos", "'s' AS sample_id")
+    intervals = spark.createDataFrame([("A", "chr1", 650, 750), ("B", "chr1", 1, 20_000)], INTERVALS)
+    keyed = points.withColumn("_blk", F.expr("CAST(pos DIV 128 AS INT)"))
+    hot = {r._hot_block: r._parts for r in membership._hot_blocks(keyed, 1000).collect()}
+    assert hot == {5: 11}
+    way = {"block_bp": 128, "broadcast_entries": 0, "min_hot_rows": 1000}
+    got = membership.attach_sets(points, intervals, **way).groupBy("set_name").count()
+    want = membership.attach_sets(points, intervals, block_bp=128).groupBy("set_name").count()
+    assert rows_of(got) == rows_of(want) and got.count() == 2
+
+
 def test_interval_ends_and_overlaps(spark):
     bed_like = spark.createDataFrame([("S", "chr1", 11, 20), ("S", "chr1", 15, 30), ("S", "chr1", 15, 30)], INTERVALS)
     points = spark.createDataFrame([("chr1", p) for p in (10, 11, 15, 20, 30, 31)], "contig string, pos int")
