@@ -74,8 +74,8 @@ def compare_groups(
     pairs = x.join(y, cell).filter(F.col("_rank_x") < F.col("_rank_y"))
     c = F.col
     return (
-        pairs.withColumn("cohens_d", cohens_d(c("mean_x"), c("std_x"), c("n_x"), c("mean_y"), c("std_y"), c("n_y")))
-        .withColumn("p_value", student.welch_p(c("mean_x"), c("var_x"), c("n_x"), c("mean_y"), c("var_y"), c("n_y")))
+        student.with_welch_p(pairs)
+        .withColumn("cohens_d", cohens_d(c("mean_x"), c("std_x"), c("n_x"), c("mean_y"), c("std_y"), c("n_y")))
         .withColumn("neg_log10_p", student.neg_log10(c("p_value")))
         .withColumn("comparison", F.lit(comparison))
         .withColumn("metric", F.concat_ws("_", "set_name", "metric_type"))

@@ -37,13 +37,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in reliable storage so later plans start from it.
+    """Write ``df`` once as a table in the shared folder and go on from the written table.
 
-    Worth it where one expensive result feeds several others: the per-sample table
-    is read by the summaries, the comparisons, the distributions and the PCA.
+    Worth it where one expensive result feeds several others: the per-sample table is read by
+    the summaries, the comparisons, the distributions and the PCA. The files outlive lost
+    executors, later readers scan only the columns they use, and their size is known to the
+    optimizer.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_root(spark))
-    return df.checkpoint()
+    path = shared_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

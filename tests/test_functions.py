@@ -108,17 +108,16 @@ def test_cohens_d_and_welch(spark):
         for g in "xy" for n, f in (("n", F.count), ("m", F.avg), ("s", F.stddev_pop), ("v", F.var_samp))
     ])
     c = F.col
-    row = m.select(
-        pairwise.cohens_d(c("mx"), c("sx"), c("nx"), c("my"), c("sy"), c("ny")).alias("d"),
-        student.welch_p(c("mx"), c("vx"), c("nx"), c("my"), c("vy"), c("ny")).alias("p"),
-    ).first()
+    sides = m.toDF(*[f"{name}_{g}" for g in "xy" for name in ("n", "mean", "sd", "var")])
+    row = student.with_welch_p(sides).withColumn(
+        "d", pairwise.cohens_d(c("mean_x"), c("sd_x"), c("n_x"), c("mean_y"), c("sd_y"), c("n_y"))).first()
     assert row.d == pytest.approx(-1 / math.sqrt(8.25))
-    assert row.p == pytest.approx(density_tail(1 / math.sqrt(2 * (55 / 6) / 10), 18.0), rel=1e-6)
+    assert row.p_value == pytest.approx(density_tail(1 / math.sqrt(2 * (55 / 6) / 10), 18.0), rel=1e-6)
 
 
 def test_welch_constant_groups(spark):
-    c = F.col
-    p = student.welch_p(c("mx"), c("vx"), c("n"), c("my"), c("vy"), c("n"))
-    got = column(spark, [(1.0, 0.0, 1.0, 0.0, 10), (1.0, 0.0, 2.0, 0.0, 10)],
-                 "mx double, vx double, my double, vy double, n bigint", p, student.neg_log10(p))
-    assert got == [(None, None), (0.0, None)]
+    df = spark.createDataFrame([(1.0, 0.0, 1.0, 0.0, 10), (1.0, 0.0, 2.0, 0.0, 10)],
+                               "mean_x double, var_x double, mean_y double, var_y double, n_x bigint")
+    rows = student.with_welch_p(df.withColumn("n_y", F.col("n_x"))).coalesce(1)
+    got = rows.select("p_value", student.neg_log10(F.col("p_value"))).collect()
+    assert [tuple(r) for r in got] == [(None, None), (0.0, None)]

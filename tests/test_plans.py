@@ -1,4 +1,5 @@
 import random
+from types import SimpleNamespace
 
 import pytest
 
@@ -154,6 +155,20 @@ def test_interval_tools(spark, tmp_path):
 
 
 def test_lineage_is_cut_in_the_shared_folder(spark):
-    df = cut_lineage(spark.range(10).selectExpr("id * 2 AS x"))
-    assert "ExistingRDD" in df._jdf.queryExecution().executedPlan().toString() and df.count() == 10
-    assert shared_root(spark)
+    df = cut_lineage(spark.range(10).selectExpr("id * 2 AS x", "id AS y"))
+    assert df.count() == 10 and all(shared_root(spark) in f for f in df.inputFiles())
+    plan = df.select("y")._jdf.queryExecution().executedPlan().toString()
+    assert "Range" not in plan and "ReadSchema: struct<y:bigint>" in plan
+
+
+def stand_in(configured=None, current=None, master="yarn"):
+    """What ``shared_root`` reads of a session."""
+    context = SimpleNamespace(getCheckpointDir=lambda: current, master=master, applicationId="x")
+    return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: configured))
+
+
+def test_shared_folder_comes_from_the_session():
+    assert shared_root(stand_in("hdfs:///shared/", "/other")) == "hdfs:///shared"
+    assert shared_root(stand_in(None, "hdfs:///set-by-context")) == "hdfs:///set-by-context"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(stand_in())
