@@ -117,7 +117,7 @@ def sample_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         fx.site_sets(spark, sf_dir), block_bp=fx.BLOCK_BP,
     )
     # Every sample of the callset, with or without a call that counts.
-    header = fx.table(spark, sf_dir, "orders").selectExpr("CAST(o_custkey AS STRING) AS sample_id").distinct()
+    header = fx.calls(spark, sf_dir).select("sample_id").distinct()
     return counting.sample_counts(carriers, header, fx.SETS)
 
 
