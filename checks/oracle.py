@@ -243,7 +243,7 @@ _QUERIES: dict[str, str] = {
     + ", ".join(f"{_SUMMARY_SQL[p].format(x='value')} AS {p}" for p in _SUMMARY)
     + " FROM long_stats GROUP BY ALL",
     "q_group_summaries_wide": "SELECT ancestry, grp, " + ", ".join(
-        f"{_SUMMARY_SQL[p].format(x=f'CASE WHEN set_name = {s!r} THEN {m} END')} AS \"{s}_{m}_{p}\""
+        f"{_SUMMARY_SQL[p].format(x=f'CASE WHEN set_name = {s!r} THEN CAST({m} AS DOUBLE) END')} AS \"{s}_{m}_{p}\""
         for s in fx.SETS for m in METRICS for p in _SUMMARY
     ) + " FROM stats GROUP BY ancestry, grp",
     "q_pairwise_d": f"""SELECT 'segment' AS comparison, ancestry, group_x, group_y, metric, n_x, n_y,

@@ -84,6 +84,15 @@ def parse_metric(name: Column) -> Column:
     return chosen.otherwise(unknown)
 
 
+def parse_name(name: str) -> tuple[str, str]:
+    """``parse_metric`` for a column name, which is known while the plan is built."""
+    fitting = [m for m in METRICS if name.endswith("_" + m) and len(name) > len(m) + 1]
+    if not fitting:
+        return "unknown", name
+    metric = max(fitting, key=len)
+    return name[: -len(metric) - 1], metric
+
+
 def display_metric(metric_type: Column) -> Column:
     """Human-readable metric name, or the name itself."""
     shown = metric_type

@@ -58,36 +58,54 @@ def read_results(
     return ResultTables(comparisons, summaries, stats, named.comparison if named else "group", threshold)
 
 
-def _unpivoted(wide: DataFrame, ids: dict[str, str]) -> DataFrame:
-    values = [c for c in wide.columns if c not in ids]
-    numbers = wide.select(
-        *[F.col(f"`{c}`").alias(alias) for c, alias in ids.items()],
-        *[metrics.number(F.col(f"`{c}`")).alias(c) for c in values],
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _as_number(column: str | None) -> str:
+    """SQL text of ``metrics.number`` for a column name; one text for hundreds of columns parses fast."""
+    if column is None:
+        return "CAST(NULL AS DOUBLE)"
+    escaped = column.replace("`", "``")
+    return f"nullif(try_cast(`{escaped}` AS DOUBLE), double('NaN'))"
+
+
+def _inlined(wide: DataFrame, ids: dict[str, str], rows: list[str]) -> DataFrame:
+    """One output row per struct in ``rows``; a narrow step, nothing is shuffled."""
+    return wide.select(
+        *[F.col(f"`{c}`").alias(alias) for c, alias in ids.items()], F.expr(f"inline(array({', '.join(rows)}))")
     )
-    return numbers.unpivot(list(ids.values()), [F.col(f"`{c}`") for c in values], "name", "value")
 
 
 def long_summaries(wide: DataFrame, group_column: str) -> DataFrame:
     """``{set}_{metric}_{mean,std,count}`` columns back to rows."""
-    rows = _unpivoted(wide, {"ancestry": "ancestry", group_column: "grp"})
-    part = F.regexp_extract("name", "_(mean|std|count)$", 1)
-    metric = metrics.parse_metric(F.regexp_replace("name", "_(mean|std|count)$", ""))
-    return (
-        rows.filter(part != "").select("ancestry", "grp", metric.alias("_m"), part.alias("_part"), "value")
-        .select("ancestry", "grp", "_m.*", "_part", "value")
-        .groupBy("ancestry", "grp", "set_name", "metric_type")
-        .pivot("_part", ["mean", "std", "count"]).agg(F.first("value", ignorenulls=True))
-        .withColumn("count", F.col("count").cast("bigint"))
-    )
+    present = set(wide.columns)
+    rows = []
+    for column in wide.columns:
+        stem = column.removesuffix("_mean")
+        if stem == column:
+            continue
+        set_name, metric_type = metrics.parse_name(stem)
+        std, count = (c if (c := f"{stem}_{part}") in present else None for part in ("std", "count"))
+        rows.append(
+            f"struct({_quoted(set_name)} AS set_name, {_quoted(metric_type)} AS metric_type, {_as_number(column)} AS mean, "
+            f"{_as_number(std)} AS std, CAST({_as_number(count)} AS BIGINT) AS count)"
+        )
+    return _inlined(wide, {"ancestry": "ancestry", group_column: "grp"}, rows)
 
 
 def long_sample_stats(wide: DataFrame, group_column: str) -> DataFrame:
     """``{set}_{metric}`` columns of the sample table back to rows."""
-    rows = _unpivoted(wide, {"s": "sample_id", "ancestry": "ancestry", group_column: "grp"})
-    return (
-        rows.withColumn("_m", metrics.parse_metric(F.col("name")))
-        .select("sample_id", "ancestry", "grp", "_m.*", "value")
-    )
+    ids = {"s": "sample_id", "ancestry": "ancestry", group_column: "grp"}
+    rows = []
+    for column in wide.columns:
+        if column in ids:
+            continue
+        set_name, metric_type = metrics.parse_name(column)
+        rows.append(
+            f"struct({_quoted(set_name)} AS set_name, {_quoted(metric_type)} AS metric_type, {_as_number(column)} AS value)"
+        )
+    return _inlined(wide, ids, rows)
 
 
 def numeric(wide: DataFrame, ids: set[str]) -> DataFrame:

@@ -55,6 +55,10 @@ def test_metric_names(spark):
         ("GC_gt_85", "indel_total"), ("Low_Mappability", "snp_ti_het"), ("unknown", "_snp_total"), ("unknown", "foo"),
         ("A", "indel_ins_het"),
     ]
+    assert [metrics.parse_name(n) for n, in names] == [
+        ("GC_gt_85", "indel_total"), ("Low_Mappability", "snp_ti_het"), ("unknown", "_snp_total"), ("unknown", "foo"),
+        ("A", "indel_ins_het"),
+    ]
     assert column(spark, [("titv_total",), ("x",)], "n string", metrics.display_metric(F.col("n"))) == ["Ti/Tv Ratio", "x"]
 
 
