@@ -45,17 +45,33 @@ def _typed(raw: DataFrame) -> DataFrame:
     return typed if "ancestry" in raw.columns else typed.withColumn("ancestry", F.lit("all"))
 
 
+def _label_column(summaries: DataFrame) -> str:
+    """The group column of a summary table: the one that is neither ancestry nor a statistic."""
+    labels = [c for c in summaries.columns if c != "ancestry" and not c.endswith(("_mean", "_std", "_count"))]
+    return labels[0] if labels else "group"
+
+
 def read_results(
-    spark: SparkSession, folder: str, load_sample_stats: bool = True, threshold: float = metrics.APPRECIABLE
+    spark: SparkSession,
+    folder: str,
+    load_sample_stats: bool = True,
+    threshold: float = metrics.APPRECIABLE,
+    comparison_name: str | None = None,
 ) -> ResultTables:
-    """Comparisons and summaries of a run folder, and its sample table where there is one."""
+    """Comparisons and summaries of a run folder, and its sample table where there is one.
+
+    The comparison's name is the one given, that of the first comparison, or the label
+    column of the summaries.
+    """
     base = folder.rstrip("/")
     comparisons = _typed(check_columns(read_tsv(spark, f"{base}/pairwise_comparisons.tsv")))
     summaries = read_tsv(spark, f"{base}/group_summaries.tsv")
     stats_path = f"{base}/sample_stats.tsv"
     stats = read_tsv(spark, stats_path) if load_sample_stats and files.exists(spark, stats_path) else None
-    named = comparisons.select("comparison").first()
-    return ResultTables(comparisons, summaries, stats, named.comparison if named else "group", threshold)
+    if comparison_name is None:
+        first = comparisons.select("comparison").first()
+        comparison_name = first.comparison if first else _label_column(summaries)
+    return ResultTables(comparisons, summaries, stats, comparison_name, threshold)
 
 
 def _quoted(text: str) -> str:
