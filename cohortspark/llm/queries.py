@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import decontam, exact, lines, sharding
+from cohortspark.llm import decontam, exact, langid, lines, packing, sharding, simhash, suffix
 from cohortspark.llm.common import text_of
 
 
@@ -46,12 +46,52 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup(docs).select("doc_id", "n_lines", "n_dropped", _sha256("kept_text").alias("kept_sha256"))
 
 
-REGISTRY = {f.__name__: f for f in (op3_decontamination, op5_exact_dedup, op8_hilbert_shards, op9_line_dedup)}
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", _sha256("kept").alias("kept_sha256"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.components(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
+
+
+def held_out(key: str = "doc_id") -> F.Column:
+    """A third of the documents is never learned from."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % 3 == 1
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(~held_out()))
+    return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+REGISTRY = {f.__name__: f for f in (op1_packing, op3_decontamination, op4_suffix_dedup, op5_exact_dedup, op6_simhash, op7_language_id, op8_hilbert_shards, op9_line_dedup)}
 
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL = {
+    "op4_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT doc_id, unnest(range(0, len(h) // 2 - 199)) AS pos, h FROM d WHERE len(h) >= 400),
+w AS (SELECT doc_id, pos, md5(substr(h, 2 * pos + 1, 400)) AS win FROM s),
+r AS (SELECT doc_id, pos FROM w JOIN (SELECT win FROM w GROUP BY win HAVING count(*) > 1) USING (win)),
+g AS (SELECT *, CASE WHEN pos <= lag(pos) OVER o + 200 THEN 0 ELSE 1 END AS fresh FROM r WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+n AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY pos) AS span FROM g),
+p AS (SELECT doc_id, span, min(pos) AS a, max(pos) + 200 AS b FROM n GROUP BY ALL),
+k AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM p),
+t AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head, max(b) AS last
+      FROM k JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)""",
     "op3_decontamination": rf"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
 i AS (SELECT item_id, list_filter(regexp_split_to_array({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark),
