@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import decontam, exact, langid, lines, packing, sharding, simhash, suffix
+from cohortspark.llm import decontam, exact, langid, lines, packing, pii, sharding, simhash, suffix, warc
 from cohortspark.llm.common import text_of
+from cohortspark.shared import shared_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,16 @@ def _sha256(column: str) -> F.Column:
     return F.sha2(F.col(column).cast("binary"), 256)
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.sanitise(docs, clean=False)
+    terms = F.transform("term_spans", lambda s: F.struct(s["start"].alias("start"), F.lit(4).alias("kind"), s["end"].alias("end")))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(pii.span_text(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"),
+        pii.span_text(F.concat("base_spans", terms)).alias("spans"),
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.decontaminate(docs, _table(spark, sf_dir, "benchmark")).select(
@@ -72,7 +83,18 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
-REGISTRY = {f.__name__: f for f in (op1_packing, op3_decontamination, op4_suffix_dedup, op5_exact_dedup, op6_simhash, op7_language_id, op8_hilbert_shards, op9_line_dedup)}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    path = shared_path(spark, "warc")
+    warc.write_archives(pages, path)
+    records = warc.read_records(warc.index_archives(spark, path))
+    return records.select(
+        F.col("record_id").cast("bigint").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+REGISTRY = {f.__name__: f for f in (op1_packing, op2_personal_data, op3_decontamination, op4_suffix_dedup, op5_exact_dedup, op6_simhash, op7_language_id, op8_hilbert_shards, op9_line_dedup, op10_warc)}
 
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -118,4 +140,13 @@ f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINC
 SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
 FROM k LEFT JOIN f ON k.key = f.key GROUP BY doc_id""",
+    "op10_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h, coalesce(html, '') AS body FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first_id FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((('0x' || substr(h, 5 * (i // 4)::INT + 1, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM f""",
 }

@@ -188,15 +188,30 @@ def near_links(distinct: DataFrame) -> DataFrame:
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """``key``, fingerprint (bigint ``fp``) and component_id, the smallest id reachable over links."""
-    table = cut_lineage(docs.select(F.col(key), fingerprints(text, shingle).alias("fp")))
+    """A row per row: ``key``, content (hash of the text), fp (bigint fingerprint), component_id (smallest id reachable over links) and root.
+
+    ``root`` names the component by one of its fingerprints.
+    """
+    table = cut_lineage(docs.select(F.col(key), F.xxhash64(text_of(text)).alias("content"), fingerprints(text, shingle).alias("fp")))
     total = table.count()
     fps = cut_lineage(table.groupBy("fp").agg(F.min(key).alias("first_id"), F.count(F.lit(1)).alias("n")))
     comps = connected_components(near_links(fps.select("fp")))
     rooted = cut_lineage(fps.join(comps, fps.fp == comps.node, "left").select("fp", "first_id", "n", F.coalesce("component", "fp").alias("root")))
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("n_fps"))
-    named = lookup(rooted, ids, ["root"], "n_fps", total, F.col("fp")).select("fp", "component_id", "n")
-    return lookup(table, named, ["fp"], "n", total, F.col(key)).select(key, "fp", "component_id")
+    named = lookup(rooted, ids, ["root"], "n_fps", total, F.col("fp")).select("fp", "root", "component_id", "n")
+    return lookup(table, named, ["fp"], "n", total, F.col(key)).select(key, "content", "fp", "component_id", "root")
+
+
+def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+    """The rows of ``docs`` that stay: of every component the one with the smallest id (then hash of its text).
+
+    Rows equal in id and text are one document and stay or go together.
+    """
+    found = cut_lineage(components(docs, key, text, shingle))
+    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.col("content").alias("content"))
+    first = found.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.id").alias("_id"), F.col("first.content").alias("_first"))
+    content = F.xxhash64(text_of(F.col(text)))
+    return docs.join(first, F.col(key).eqNullSafe(F.col("_id")) & (content == F.col("_first")), "left_semi")
 
 
 def hex_digits(fp: str) -> Column:
