@@ -47,7 +47,9 @@ def lookup(rows: DataFrame, facts: DataFrame, keys: Sequence[str], size: str, to
     added = [c for c in facts.columns if c not in keys]
     limit = hot_limit(total)
     hot = facts.filter(F.col(size) > limit).select(*keys, *[F.col(c).alias(f"_hot_{c}") for c in added], F.lit(True).alias("_hot"))
-    cold = facts.filter(F.col(size) <= limit).select(*keys, *[F.col(c).alias(f"_cold_{c}") for c in added], F.lit(0).cast("bigint").alias("_scatter"))
+    # Not a literal: the optimizer would take a constant out of the join keys, and the rows of a hot key would meet again.
+    zero = F.when(F.col(size) < 0, 1).otherwise(0).cast("bigint")
+    cold = facts.filter(F.col(size) <= limit).select(*keys, *[F.col(c).alias(f"_cold_{c}") for c in added], zero.alias("_scatter"))
     marked = rows.join(F.broadcast(hot), list(keys), "left").withColumn(
         "_scatter", F.when(F.col("_hot"), F.shiftrightunsigned(F.xxhash64(spread), 1) + 1).otherwise(F.lit(0).cast("bigint"))
     )
