@@ -108,7 +108,7 @@ def hilbert_shards(
     levels = _levels(table, _places(table, dims), bits, accuracy)
     grid = [f"_q{i}" for i in range(len(dims))]
     placed = table.withColumns(dict(zip(grid, levels)))
-    part_rows = min(bucket_rows, max(1_000, total // 512))
+    part_rows = min(bucket_rows, max(100, total // 2_048))
     cells = cut_lineage(
         placed.groupBy(*grid).agg(F.count(F.lit(1)).alias("n"))
         .select(*grid, hilbert_index([F.col(c) for c in grid], bits).alias("_index"), F.ceil(F.col("n") / part_rows).cast("bigint").alias("_parts"))
