@@ -21,6 +21,7 @@ MIN_VALUES = 10
 SEED = 42
 # Positions in the fixtures are dense, one interval per 22 bp, so blocks are small.
 BLOCK_BP = 64
+PCA_METRICS = ["snp_ti_het", "indel_del_hom", "titv_total", "delins_het"]
 
 CALL_COLUMNS = {
     "sample_id": "CAST(o_custkey AS STRING)",
@@ -93,6 +94,16 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nation_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels whose groups, the nations, occur in one ancestry each."""
+    customer, nation, region = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    return (
+        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(F.col("c_custkey").cast("string").alias("sample_id"), F.col("r_name").alias("ancestry"), F.col("n_name").alias("grp"))
+    )
+
+
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long calls with ``filters`` and allele numbers, as the call operators take them."""
     stored = {name: text for name, text in CALL_COLUMNS.items() if name not in ("vfilter", "gt")}
@@ -206,14 +217,16 @@ def write_vcf(spark: SparkSession, sf_dir: str) -> str:
             F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda s: s["n_name"]
         )).alias("names")
     )
-    header = names.select(
-        F.explode(F.array(
-            F.lit("##fileformat=VCFv4.2"),
-            F.concat(F.lit("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"), F.col("names")),
-        )).alias("value")
+    # Every shard carries the header, as cohort VCFs do.
+    shards = spark.sparkContext.defaultParallelism
+    header = F.array(
+        F.lit("##fileformat=VCFv4.2"), F.concat(F.lit("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"), F.col("names"))
+    )
+    heads = names.select("names", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("shard")).select(
+        "shard", F.posexplode(header).alias("line", "value")
     )
-    header.coalesce(1).write.text(f"{folder}/header.vcf")
-    vcf_lines(spark, sf_dir).write.option("compression", "gzip").text(f"{folder}/body.vcf")
+    body = vcf_lines(spark, sf_dir).select(F.pmod(F.xxhash64("value"), F.lit(shards)).alias("shard"), F.lit(9).alias("line"), "value")
+    heads.union(body).repartition(shards, "shard").sortWithinPartitions("line").select("value").write.option("compression", "gzip").text(f"{folder}/calls.vcf")
     return f"{folder}/*.vcf"
 
 

@@ -91,18 +91,18 @@ FRAGMENTS: dict[str, str] = {
       x.set_name || '_' || x.metric_type AS metric,
       x.mean AS mean_x, x.sd AS std_x, x.n AS n_x, y.mean AS mean_y, y.sd AS std_y, y.n AS n_y,
       x.var / x.n AS ex, y.var / y.n AS ey,
-      (x.mean - y.mean) / nullif(sqrt(((x.n - 1) * x.sd ** 2 + (y.n - 1) * y.sd ** 2) / (x.n + y.n - 2)), 0) AS cohens_d
+      (x.mean - y.mean) / nullif(sqrt(((x.n - 1) * x.sd ** 2 + (y.n - 1) * y.sd ** 2) / nullif(x.n + y.n - 2, 0)), 0) AS cohens_d
       FROM moments x JOIN moments y USING (ancestry, set_name, metric_type)
       WHERE x.grp < y.grp AND least(x.n_rows, y.n_rows) >= {fx.MIN_SAMPLES} AND least(x.n, y.n) >= {fx.MIN_VALUES}""",
     "welch": """SELECT *, abs(mean_x - mean_y) / sqrt(nullif(ex + ey, 0)) AS t,
-      (ex + ey) ** 2 / nullif(ex ** 2 / (n_x - 1) + ey ** 2 / (n_y - 1), 0) AS df FROM tested""",
+      (ex + ey) ** 2 / nullif(ex ** 2 / nullif(n_x - 1, 0) + ey ** 2 / nullif(n_y - 1, 0), 0) AS df FROM tested""",
     # One minus twice Simpson's integral of the density over [0, t].
     "integral": """SELECT ancestry, group_x, group_y, metric,
       sum((CASE WHEN k IN (0, 2000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END)
           * (1 + (t * k / 2000) ** 2 / df) ** (-(df + 1) / 2)) * any_value(t) / 6000
         * exp(lgamma((any_value(df) + 1) / 2) - lgamma(any_value(df) / 2)) / sqrt(any_value(df) * pi()) AS area
       FROM welch CROSS JOIN (SELECT unnest(range(2001)) AS k) WHERE t IS NOT NULL GROUP BY ALL""",
-    "compared": """SELECT w.*, CASE WHEN w.t IS NOT NULL THEN greatest(1 - 2 * area, 0) WHEN mean_x <> mean_y THEN 0.0 END AS p_value,
+    "compared": """SELECT w.*, CASE WHEN w.t IS NOT NULL THEN greatest(1 - 2 * area, 0) WHEN ex + ey = 0 AND mean_x <> mean_y THEN 0.0 END AS p_value,
       group_x || ' vs ' || group_y AS group_pair
       FROM welch w LEFT JOIN integral USING (ancestry, group_x, group_y, metric)""",
     "flags": """SELECT *, abs(cohens_d) AS abs_d,
@@ -220,8 +220,8 @@ _QUERIES: dict[str, str] = {
       GROUP BY ancestry, grp""",
     "q_distinct_labels": """SELECT count(*) AS n_samples, count(DISTINCT ancestry) AS n_ancestries, count(DISTINCT grp) AS n_groups
       FROM fx_samples""",
-    "q_unmatched_labels": """SELECT 'ancestry' AS side, count(*) AS n FROM customer WHERE c_acctbal > 0 AND c_acctbal <= 5000
-      UNION ALL SELECT 'group', count(*) FROM customer WHERE c_acctbal < 0""",
+    "q_unmatched_labels": """SELECT 'ancestry' AS side, count(*) AS n FROM orders WHERE o_orderkey * 3 NOT IN (SELECT p_partkey FROM part)
+      UNION ALL SELECT 'group', count(*) FROM part WHERE p_partkey NOT IN (SELECT o_orderkey * 3 FROM orders)""",
     "q_subsample": f"""SELECT sample_id, ancestry, grp FROM (SELECT *,
       row_number() OVER (PARTITION BY ancestry, grp ORDER BY md5('{fx.SEED}:' || sample_id)) AS r,
       count(*) OVER (PARTITION BY ancestry, grp) AS n FROM fx_samples) WHERE r <= 50 AND n >= 50""",
@@ -274,10 +274,6 @@ _QUERIES: dict[str, str] = {
       {_CROSS.format('(SELECT min(ancestry) FROM compared)',
                      '(SELECT min(ancestry) FROM compared WHERE ancestry > (SELECT min(ancestry) FROM compared))')}""",
     "q_cross_corr": f"SELECT count(*) AS n_matched, round(corr(x.cohens_d, y.cohens_d), 6) AS r {_CROSS.format(repr('ASIA'), repr('EUROPE'))}",
-    "q_group_means": """SELECT ancestry, grp, set_name, metric_type, metric_name,
-      CASE WHEN gone THEN 0.0 ELSE round(avg(value), 6) END AS mean, CASE WHEN gone THEN 0.0 ELSE round(stddev_samp(value), 6) END AS std
-      FROM (SELECT *, ancestry = 'ASIA' AND grp = 'BUILDING' AS gone FROM key_stats) JOIN named USING (metric_type)
-      GROUP BY ancestry, grp, set_name, metric_type, metric_name, gone""",
     "q_distributions": f"SELECT ancestry, grp, set_name, metric_type, {_QUARTILES} FROM key_stats WHERE value IS NOT NULL GROUP BY ALL",
     "q_distributions_drawn": f"""SELECT ancestry, grp, set_name, metric_type, {_QUARTILES} FROM key_stats
       WHERE value IS NOT NULL AND sample_id IN (SELECT sample_id FROM (SELECT sample_id,
@@ -328,7 +324,8 @@ _QUERIES: dict[str, str] = {
         f"CAST(sum({m}) FILTER (WHERE set_name = '{s}') AS BIGINT) AS \"{s}_{m}\"" for s in fx.SETS for m in ("snp_ti_het", "indel_del_hom")
     ) + f" FROM counts GROUP BY sample_id ORDER BY md5('{fx.SEED}:' || sample_id) LIMIT 400",
     "q_tsv_labels": f"""SELECT {_PADDED} AS sample_id, CAST(c_nationkey AS VARCHAR) AS ancestry,
-      CASE WHEN c_custkey % 11 <> 0 THEN c_mktsegment END AS grp FROM customer WHERE c_custkey % 7 <> 0""",
+      CASE WHEN c_custkey % 11 <> 0 AND c_custkey % 13 <> 0 AND c_custkey % 17 <> 0 THEN 'site' || c_custkey % 5 END AS grp
+      FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)""",
     "q_interval_files": f"""SELECT 'tool' AS reader, contig, a, b FROM {_FILE_ROWS} WHERE contig <> 'chrUn_x'
       UNION ALL SELECT 'bed', contig, a + 1, b FROM {_FILE_ROWS} WHERE b > a UNION ALL SELECT 'list', contig, a, b FROM {_FILE_ROWS}""",
     "q_vcf_sites": """SELECT contig, pos, ref, alt, filters, round(max_af, 6) AS max_af, CAST(max_ac AS BIGINT) AS max_ac FROM vcf_sites""",
@@ -341,6 +338,18 @@ _QUERIES: dict[str, str] = {
     "q_results_distributions": f"SELECT ancestry, grp, set_name, metric_type, {_QUARTILES} FROM key_stats WHERE value IS NOT NULL GROUP BY ALL",
 }
 _QUERIES["q_results_summaries"] = _QUERIES["q_group_summaries"]
+_QUERIES["q_report_distributions"] = _QUERIES["q_results_distributions"]
+_QUERIES["q_bed_roundtrip"] = "SELECT contig, start0, end0 FROM strat_kept"
+_QUERIES["q_vcf_cache_options"] = """SELECT 'all' AS import, contig, pos, ref, alt FROM vcf_sites
+  UNION ALL SELECT 'frequent', contig, pos, ref, alt FROM vcf_sites WHERE max_af > 0.01 OR max_ac > 100"""
+_QUERIES["q_heatmap_reversed"] = "SELECT ancestry, set_name || ' / ' || metric_name AS row_label, " + ", ".join(
+    f"round(-max(cohens_d) FILTER (WHERE group_x = '{x}' AND group_y = '{y}'), 6) AS \"{y} vs {x}\"" for x, y in _pairs()
+) + " FROM compared JOIN named USING (metric_type) GROUP BY ALL"
+_PCA_PAIRS = [(i, j) for i in range(len(fx.PCA_METRICS)) for j in range(i, len(fx.PCA_METRICS))]
+_QUERIES["q_pca_moments"] = " UNION ALL ".join(
+    f"""SELECT ancestry, {i} AS i, {j} AS j, count(*) AS n, round(avg(coalesce({fx.PCA_METRICS[i]}, 0)), 6) AS mean_i,
+  round(corr(coalesce({fx.PCA_METRICS[i]}, 0), coalesce({fx.PCA_METRICS[j]}, 0)), 6) AS r FROM stats GROUP BY ancestry""" for i, j in _PCA_PAIRS
+)
 
 for _name, _value in (("q_heatmap", "cohens_d"), ("q_heatmap_p", "p_value")):
     _QUERIES[_name] = "SELECT ancestry, set_name || ' / ' || metric_name AS row_label, " + ", ".join(
@@ -351,6 +360,26 @@ _QUERIES["q_heatmap_text"] = """SELECT ancestry, set_name || ' / ' || metric_nam
   AS cell_text FROM compared JOIN named USING (metric_type)"""
 
 
+def small_groups_sql() -> str:
+    """Effects of groups of a few samples: the same moments over finer strata, without minimums."""
+    text = build(f"""SELECT ancestry, group_x, group_y, metric, n_x, n_y, {_round('cohens_d')},
+      (t IS NOT NULL AND df IS NOT NULL) OR coalesce(ex + ey = 0 AND mean_x <> mean_y, false) AS has_p FROM welch""")
+    text = text.replace("SELECT c.*, ancestry, grp,", "SELECT c.*, ancestry || CAST(sample_id AS BIGINT) % 40 AS ancestry, grp,")
+    return text.replace(f"least(x.n_rows, y.n_rows) >= {fx.MIN_SAMPLES} AND least(x.n, y.n) >= {fx.MIN_VALUES}", "least(x.n, y.n) >= 1")
+
+
+def group_means_sql() -> str:
+    """Groups that each occur in one ancestry only; every other cell is filled with 0."""
+    text = build("""SELECT a.ancestry, g.grp, s.set_name, s.metric_type, metric_name,
+      CASE WHEN count(k.sample_id) = 0 THEN 0.0 ELSE round(avg(value), 6) END AS mean,
+      CASE WHEN count(k.sample_id) = 0 THEN 0.0 ELSE round(stddev_samp(value), 6) END AS std
+      FROM (SELECT DISTINCT ancestry FROM key_stats) a CROSS JOIN (SELECT DISTINCT grp FROM key_stats) g
+      CROSS JOIN (SELECT DISTINCT set_name, metric_type FROM key_stats) s JOIN named USING (metric_type)
+      LEFT JOIN key_stats k ON k.ancestry = a.ancestry AND k.grp = g.grp AND k.set_name = s.set_name AND k.metric_type = s.metric_type
+      GROUP BY ALL""")
+    return text.replace("c_mktsegment AS grp", "n_name AS grp")
+
+
 def flagship_sql() -> str:
     """The comparison chain with all samples in one stratum."""
     text = build(f"""SELECT ancestry, group_x, group_y, metric, n_x, n_y,
@@ -359,4 +388,4 @@ def flagship_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**{name: build(sql) for name, sql in _QUERIES.items()}, "q_flagship": flagship_sql()}
+    return {**{name: build(sql) for name, sql in _QUERIES.items()}, "q_flagship": flagship_sql(), "q_pairwise_small": small_groups_sql(), "q_group_means": group_means_sql()}

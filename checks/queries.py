@@ -11,7 +11,8 @@ from cohortspark.functions import metrics
 from cohortspark.operators import bed, calls as call_ops, counting, labels, membership, pairwise, pca, report
 from cohortspark.plans.cohort import count_callset
 from cohortspark.shared import cut_lineage, shared_path
-from cohortspark.sinks import sampled_rows, write_results, write_tsv
+from cohortspark.plans.report import build_report
+from cohortspark.sinks import sampled_rows, write_bed, write_results, write_tsv
 from cohortspark.sources import callset as callset_source
 from cohortspark.sources import intervals as interval_source
 from cohortspark.sources import labels as label_source
@@ -56,11 +57,10 @@ def q_distinct_labels(spark, sf_dir):
 
 @query
 def q_unmatched_labels(spark, sf_dir):
-    """Customers in credit have an ancestry row, those with a large balance or debt a group row."""
-    customer = fx.table(spark, sf_dir, "customer")
-    credit = customer.filter("c_acctbal > 0").selectExpr("CAST(c_custkey AS STRING) AS sample_id")
-    other = customer.filter("c_acctbal > 5000 OR c_acctbal < 0").selectExpr("CAST(c_custkey AS STRING) AS sample_id")
-    return labels.unmatched_counts(credit, other)
+    """Ids of two tables that overlap in part."""
+    orders = fx.table(spark, sf_dir, "orders").selectExpr("CAST(o_orderkey * 3 AS STRING) AS sample_id")
+    parts = fx.table(spark, sf_dir, "part").selectExpr("CAST(p_partkey AS STRING) AS sample_id")
+    return labels.unmatched_counts(orders, parts)
 
 
 @query
@@ -116,8 +116,8 @@ def sample_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.select("sample_id", "contig", "pos", "allele_class", "zygosity"),
         fx.site_sets(spark, sf_dir), block_bp=fx.BLOCK_BP,
     )
-    # Every sample of the callset, with or without a call that counts.
-    header = fx.calls(spark, sf_dir).select("sample_id").distinct()
+    # Every sample of the callset, with or without a call that counts; every order has calls.
+    header = fx.table(spark, sf_dir, "orders").selectExpr("CAST(o_custkey AS STRING) AS sample_id").distinct()
     return counting.sample_counts(carriers, header, fx.SETS)
 
 
@@ -185,6 +185,15 @@ def q_pairwise_p(spark, sf_dir):
     return rounded(shown, neg_log10_p=4)
 
 
+@query
+def q_pairwise_small(spark, sf_dir):
+    """Groups of a few samples, down to one: no error, and NULL where a value is unknown."""
+    fine = sample_metrics(spark, sf_dir).withColumn("ancestry", F.concat("ancestry", (F.col("sample_id").cast("bigint") % 40).cast("string")))
+    rows = pairwise.compare_groups(fine, "segment", min_samples=1, min_values=1)
+    return rounded(rows.select(
+        "ancestry", "group_x", "group_y", "metric", "n_x", "n_y", "cohens_d", F.col("p_value").isNotNull().alias("has_p")))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels, sets, counts, metrics and comparisons in one plan, all samples in one stratum."""
     one = sample_metrics(spark, sf_dir).withColumn("ancestry", F.lit("all"))
@@ -261,10 +270,9 @@ def q_cross_corr(spark, sf_dir):
 
 @query
 def q_group_means(spark, sf_dir):
-    summaries = cut_lineage(counting.group_summaries(sample_metrics(spark, sf_dir)))
-    # One cell taken out, so that the filling shows.
-    some = summaries.filter("NOT (ancestry = 'ASIA' AND grp = 'BUILDING')")
-    return rounded(report.group_means(some))
+    """Groups are nations here, each in one region only, so most cells do not occur and are filled."""
+    counts = counting.add_labels(sample_counts(spark, sf_dir), fx.nation_samples(spark, sf_dir))
+    return rounded(report.group_means(cut_lineage(counting.group_summaries(counting.derived_metrics(counts)))))
 
 
 @query
@@ -313,6 +321,21 @@ def q_embedding_pca(spark, sf_dir):
     return pca.metric_pca(cut_lineage(wide), names, "label", ["vec_id"])
 
 
+@query
+def q_pca_moments(spark, sf_dir):
+    """What the components are computed from: count, means and correlations per stratum."""
+    rows = sample_metrics(spark, sf_dir)
+    vectors = rows.select("ancestry", F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in fx.PCA_METRICS]).alias("_x"))
+    width = len(fx.PCA_METRICS)
+    found = cut_lineage(pca.stratum_moments(vectors, "ancestry", width))
+    at = lambda i, j: F.get("comoment", F.col(i) * width + F.col(j))
+    pairs = found.select("*", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("i")).select(
+        "*", F.explode(F.sequence(F.col("i"), F.lit(width - 1))).alias("j"))
+    return rounded(pairs.select(
+        F.col("stratum").alias("ancestry"), "i", "j", "n", F.get("mean", F.col("i")).alias("mean_i"),
+        (at("i", "j") / F.sqrt(at("i", "i") * at("j", "j"))).alias("r")))
+
+
 # --- interval tools -----------------------------------------------------------------------
 
 
@@ -375,6 +398,15 @@ def q_downsample_tight(spark, sf_dir):
     return bed.downsample(sets, 300, True, fx.SEED, BED_KEY)
 
 
+@query
+def q_bed_roundtrip(spark, sf_dir):
+    """A drawn set written as BED and read back."""
+    sets = fx.bed_sets(spark, sf_dir)
+    path = f"{shared_path(spark, 'bed')}/drawn.bed"
+    write_bed(bed.downsample(sets, _target(sets), True, fx.SEED, BED_KEY), path)
+    return interval_source.read_bed(spark, path).select("contig", "start0", "end0")
+
+
 @query
 def q_downsample_breakdown(spark, sf_dir):
     sets = fx.bed_sets(spark, sf_dir)
@@ -403,8 +435,11 @@ def q_tsv_labels(spark, sf_dir):
     customer = fx.table(spark, sf_dir, "customer")
     padded = "lpad(CAST(c_custkey AS STRING), 9, '0') AS research_id"
     write_tsv(customer.selectExpr(padded, "c_name", "CAST(c_nationkey AS STRING) AS ancestry_pred_other"), f"{folder}/a.tsv")
-    write_tsv(customer.filter("c_custkey % 7 <> 0").selectExpr(
-        padded, "CASE WHEN c_custkey % 11 <> 0 THEN c_mktsegment END AS site_id", "c_acctbal"), f"{folder}/g.tsv")
+    # Customers without orders have no group; some labels are missing, written in several ways.
+    buyers = fx.table(spark, sf_dir, "orders").selectExpr("o_custkey AS c_custkey").distinct()
+    site = "CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN 'NA' WHEN c_custkey % 17 = 0 THEN 'null' " \
+           "ELSE concat('site', CAST(c_custkey % 5 AS STRING)) END AS site_id"
+    write_tsv(buyers.selectExpr(padded, site, "'x' AS note"), f"{folder}/g.tsv")
     return labels.merge_labels(
         label_source.read_ancestry(spark, f"{folder}/a.tsv"),
         label_source.read_groups(spark, f"{folder}/g.tsv", "site_id"),
@@ -447,6 +482,17 @@ def q_vcf_sites(spark, sf_dir):
     ))
 
 
+@query
+def q_vcf_cache_options(spark, sf_dir):
+    """One cache path asked for two imports: each gets what its own options give."""
+    path, cache = fx.write_vcf(spark, sf_dir), shared_path(spark, "callset")
+    imports = [
+        callset_source.cached_import(spark, path, cache, frequency_filter=f).sites.select(F.lit(name).alias("import"), "contig", F.col("pos").cast("bigint").alias("pos"), "ref", "alt")
+        for name, f in (("all", False), ("frequent", True))
+    ]
+    return imports[0].unionByName(imports[1])
+
+
 @query
 def q_vcf_calls(spark, sf_dir):
     sites = vcf_import(spark, sf_dir, frequency_filter=True).sites
@@ -465,13 +511,13 @@ def q_vcf_metrics(spark, sf_dir):
     return rounded(rows)
 
 
-def written_results(spark: SparkSession, sf_dir: str) -> str:
+def written_results(spark: SparkSession, sf_dir: str, group_order: list[str] | None = None) -> str:
     rows = cut_lineage(sample_metrics(spark, sf_dir))
     folder = shared_path(spark, "results")
-    compared = pairwise.compare_groups(rows, "segment", fx.MIN_SAMPLES, fx.MIN_VALUES)
+    compared = pairwise.compare_groups(rows, "segment", fx.MIN_SAMPLES, fx.MIN_VALUES, group_order=group_order)
     write_results(
         folder, counting.widen(rows, fx.SETS), counting.group_summaries_wide(rows, fx.SETS),
-        compared.select(*pairwise.COMPARISON_COLUMNS), "segment", export_per_sample=True,
+        compared.select(*pairwise.COMPARISON_COLUMNS), "segment",
     )
     return folder
 
@@ -494,3 +540,15 @@ def q_results_summaries(spark, sf_dir):
 def q_results_distributions(spark, sf_dir):
     data = result_source.read_results(spark, written_results(spark, sf_dir))
     return rounded(report.distributions(result_source.long_sample_stats(data.sample_stats, data.comparison_name)))
+
+
+@query
+def q_report_distributions(spark, sf_dir):
+    """The report of a run with default settings covers every sample."""
+    return rounded(build_report(spark, written_results(spark, sf_dir))["distributions"])
+
+
+@query
+def q_heatmap_reversed(spark, sf_dir):
+    """Pairs stored in another order than the alphabet's keep their columns."""
+    return rounded(build_report(spark, written_results(spark, sf_dir, fx.GROUPS[::-1]))["heatmap"])

@@ -59,17 +59,18 @@ def two_sided_p(t: Column, df: Column) -> Column:
 def with_welch_p(pairs: DataFrame) -> DataFrame:
     """Add ``p_value`` of Welch's unequal-variance test from ``mean, var, n`` of sides x and y.
 
-    Both variances zero: NULL when the means agree, 0 when they differ.
+    Both variances zero: NULL when the means agree, 0 when they differ. A group of one value has no variance,
+    and no p-value.
     """
     c = F.col
     se_x, se_y = c("var_x") / c("n_x"), c("var_y") / c("n_y")
     difference = c("mean_x") - c("mean_y")
-    shares = se_x * se_x / (c("n_x") - 1) + se_y * se_y / (c("n_y") - 1)
+    shares = se_x * se_x / F.nullif(c("n_x") - 1, F.lit(0)) + se_y * se_y / F.nullif(c("n_y") - 1, F.lit(0))
     staged = pairs.withColumns({
         "_t": difference / F.sqrt(F.nullif(se_x + se_y, F.lit(0.0))),
         "_df": (se_x + se_y) * (se_x + se_y) / F.nullif(shares, F.lit(0.0)),
     })
-    constant = F.when(difference != 0, F.lit(0.0))
+    constant = F.when((se_x + se_y == 0) & (difference != 0), F.lit(0.0))
     p = F.when(c("_t").isNull(), constant).otherwise(two_sided_p(c("_t"), c("_df")))
     return staged.withColumn("p_value", p).drop("_t", "_df")
 

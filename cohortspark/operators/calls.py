@@ -120,11 +120,7 @@ def with_zygosity(calls: DataFrame, haploid_as_hom: bool = False) -> DataFrame:
 
 
 def keep_samples(calls: DataFrame, labels: DataFrame, broadcast_ids: int = 2_000_000) -> DataFrame:
-    """Only calls of labelled samples, when the id list is small enough to broadcast.
-
-    Above the limit the calls come back unchanged: the label join after counting drops
-    the same samples, without shuffling the calls.
-    """
-    if labels.count() > broadcast_ids:
-        return calls
-    return calls.join(F.broadcast(labels.select("sample_id")), "sample_id", "left_semi")
+    """Only calls of labelled samples. The id list is broadcast up to a counted size, else joined by shuffle."""
+    ids = labels.select("sample_id").distinct()
+    small = labels.count() <= broadcast_ids
+    return calls.join(F.broadcast(ids) if small else ids, "sample_id", "left_semi")

@@ -48,8 +48,9 @@ def distinct_labels(labels: DataFrame) -> DataFrame:
 
 
 def one_label_each(labels: DataFrame) -> DataFrame:
-    """One row per sample, for lookups: the smallest (ancestry, grp) where a sample has several."""
-    picked = labels.groupBy("sample_id").agg(F.min(F.struct("ancestry", "grp")).alias("_label"))
+    """One row per sample, for lookups: the smallest (ancestry, grp) where a sample has several, complete ones first."""
+    gaps = (F.col("ancestry").isNull().cast("int") + F.col("grp").isNull().cast("int")).alias("gaps")
+    picked = labels.groupBy("sample_id").agg(F.min(F.struct(gaps, "ancestry", "grp")).alias("_label"))
     return picked.select("sample_id", "_label.ancestry", "_label.grp")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import metrics, student
 
+# The columns of the comparison file.
 COMPARISON_COLUMNS = [
     "comparison", "ancestry", "group_x", "group_y", "metric", "mean_x", "std_x", "n_x",
     "mean_y", "std_y", "n_y", "cohens_d", "p_value", "neg_log10_p",
@@ -39,8 +40,8 @@ def moments(sample_metrics: DataFrame) -> DataFrame:
 def cohens_d(
     mean_x: Column, sd_x: Column, n_x: Column, mean_y: Column, sd_y: Column, n_y: Column
 ) -> Column:
-    """Mean difference over the (n-1)-weighted pooled deviation; NULL when that is zero."""
-    pooled = F.sqrt(((n_x - 1) * sd_x * sd_x + (n_y - 1) * sd_y * sd_y) / (n_x + n_y - 2))
+    """Mean difference over the (n-1)-weighted pooled deviation; NULL when that is zero or unknown."""
+    pooled = F.sqrt(((n_x - 1) * sd_x * sd_x + (n_y - 1) * sd_y * sd_y) / F.nullif(n_x + n_y - 2, F.lit(0)))
     return (mean_x - mean_y) / F.nullif(pooled, F.lit(0.0))
 
 
@@ -60,6 +61,8 @@ def compare_groups(
     ``metric_type`` as columns beside the glued ``metric``.
     """
     usable = moments(sample_metrics).filter((F.col("n_rows") >= min_samples) & (F.col("n") >= min_values))
+    if min_values < 1:
+        raise ValueError("min_values must be at least 1")
     if group_order is None:
         rank = F.col("grp")
     else:

@@ -17,14 +17,16 @@ from . import ranking
 
 MIN_METRICS = 3
 MIN_SAMPLES = 10
-MERGE_FANOUT = 16
 BROADCAST_STRATA = 10_000
 
 
-def _moments(rows: DataFrame, stratum: str, width: int) -> DataFrame:
-    """One row per stratum: ``n, mean, comoment`` (a flattened width x width matrix)."""
+def stratum_moments(rows: DataFrame, stratum: str, width: int) -> DataFrame:
+    """One row per stratum: ``n, mean, comoment`` (a flattened width x width matrix).
+
+    Partials are merged in two rounds. Partition p goes to group isqrt(p): of P partitions that makes about sqrt(P) groups
+    of at most twice as many partials, so both rounds grow with the square root.
+    """
     kind = rows.schema[stratum].dataType.simpleString()
-    fanout = MERGE_FANOUT
     schema = f"stratum {kind}, part int, n bigint, mean array<double>, comoment array<double>"
 
     # Nested, so that they travel with the job and executors need no installed package.
@@ -36,6 +38,8 @@ def _moments(rows: DataFrame, stratum: str, width: int) -> DataFrame:
         return n, a[1] + gap * (b[0] / n), a[2] + b[2] + np.outer(gap, gap) * (a[0] * b[0] / n)
 
     def fold(batches):
+        import math
+
         import numpy as np
         import pandas as pd
         from pyspark import TaskContext
@@ -48,7 +52,7 @@ def _moments(rows: DataFrame, stratum: str, width: int) -> DataFrame:
                 centred = x - mean
                 part = (len(x), mean, centred.T @ centred)
                 seen[value] = merge(seen[value], part) if value in seen else part
-        part = TaskContext.get().partitionId() % fanout
+        part = math.isqrt(TaskContext.get().partitionId())
         for value, (n, mean, comoment) in seen.items():
             yield pd.DataFrame(
                 {"stratum": [value], "part": [part], "n": [n], "mean": [mean], "comoment": [comoment.ravel()]}
@@ -134,7 +138,7 @@ def metric_pca(
     vectors = rows.filter(F.col(stratum).isNotNull()).select(*named, F.array(*values).alias("_x"))
     if max_samples is not None:
         vectors = ranking.first_n(vectors, [stratum], seed, [keep[0]], max_samples)
-    moments = _moments(vectors, stratum, len(features)).filter(F.col("n") >= MIN_SAMPLES)
+    moments = stratum_moments(vectors, stratum, len(features)).filter(F.col("n") >= MIN_SAMPLES)
     # A few kilobytes per stratum, materialised once: the count below decides how to join it.
     model = cut_lineage(_components(moments, stratum, len(features)))
     if model.count() <= BROADCAST_STRATA:

@@ -73,7 +73,8 @@ def fit_budget(
     merged = merged.withColumn("_drawn", draw_key(seed, *key))
     w = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
     ranked = running_total(
-        merged, by, draw_bucket(F.col("_drawn")), [F.col("_drawn"), *[F.col(c) for c in key]], w * F.col("_copies")
+        merged, by, draw_bucket(F.col("_drawn")), [F.col("_drawn"), *[F.col(c) for c in dict.fromkeys([*key, *df.columns])]],
+        w * F.col("_copies"),
     )
     before = F.col("_running") - w * F.col("_copies")
     room = (budget - before).cast("double")

@@ -82,6 +82,11 @@ def heatmap(comparisons: DataFrame, group_pairs: list[str], value: str = "cohens
     )
 
 
+def stored_pairs(comparisons: DataFrame) -> list[str]:
+    """The group pairs that occur, sorted; a handful of values."""
+    return [r.group_pair for r in comparisons.select("group_pair").distinct().orderBy("group_pair").toLocalIterator() if r.group_pair]
+
+
 def pair_names(groups: list[str]) -> list[str]:
     """Labels of all pairs of group values, in comparison order."""
     ordered = sorted(groups)
@@ -114,17 +119,22 @@ def cross_ancestry(comparisons: DataFrame, ancestry_x: str | None = None, ancest
     listed = rows.agg(names.alias("names"))
     x_name = F.lit(ancestry_x) if ancestry_x else listed.select(F.get("names", F.lit(0)).alias("x")).scalar()
     y_name = F.lit(ancestry_y) if ancestry_y else listed.select(F.get("names", F.lit(1)).alias("y")).scalar()
-    key = ["group_pair", "metric"]
+    # The two may name the groups of a pair in either order; the effect then changes its sign.
+    rows = rows.withColumns({"_low": F.least("group_x", "group_y"), "_high": F.greatest("group_x", "group_y")})
+    key = ["_low", "_high", "metric"]
     x = rows.filter(F.col("ancestry") == x_name).select(
-        *key, "set_name", "metric_type", F.col("ancestry").alias("ancestry_x"), F.col("cohens_d").alias("d_x")
+        *key, "group_pair", "set_name", "metric_type", F.col("ancestry").alias("ancestry_x"), F.col("cohens_d").alias("d_x"),
+        F.col("group_x").alias("_first_x"),
     ).dropDuplicates(key)
     y = rows.filter(F.col("ancestry") == y_name).select(
-        *key, F.col("ancestry").alias("ancestry_y"), F.col("cohens_d").alias("d_y")
+        *key, F.col("ancestry").alias("ancestry_y"), F.col("cohens_d").alias("_d"), F.col("group_x").alias("_first_y")
     ).dropDuplicates(key)
     apart = F.abs(F.col("d_x") - F.col("d_y"))
     strongest = F.greatest(F.abs("d_x"), F.abs("d_y"))
     return (
         x.join(y, key)
+        .withColumn("d_y", F.when(F.col("_first_x") == F.col("_first_y"), F.col("_d")).otherwise(-F.col("_d")))
+        .select("group_pair", "metric", "set_name", "metric_type", "ancestry_x", "d_x", "ancestry_y", "d_y")
         .withColumn("comparison_key", F.concat_ws(" | ", "group_pair", "metric"))
         .withColumn(
             "labelled",

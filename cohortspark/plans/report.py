@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import labels, pca, report
+from ..operators import pca, report
 from ..shared import cut_lineage
 from ..sources import results as result_source
 
@@ -14,8 +14,7 @@ def build_report(spark: SparkSession, folder: str, threshold: float = 0.5) -> di
     data = result_source.read_results(spark, folder, threshold=threshold)
     comparisons = cut_lineage(report.parsed(data.comparisons))
     flagged = report.flagged(comparisons, threshold)
-    sides = comparisons.selectExpr("explode(array(group_x, group_y)) AS grp")
-    pairs = report.pair_names(labels.group_values(sides))
+    pairs = report.stored_pairs(comparisons)
     matched = report.cross_ancestry(comparisons)
     tables = {
         "flag_totals": report.flag_totals(comparisons, threshold),

@@ -1,11 +1,13 @@
 """Shared-storage helpers: where intermediate tables go and how lineage is cut.
 
 Everything written here must be readable by every executor, so the folder comes from
-``spark.checkpoint.dir``. Only a local master may fall back to a temporary folder.
+``spark.checkpoint.dir``. Only a local master may fall back to a temporary folder, which goes when the process ends.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -28,6 +30,8 @@ def shared_root(spark: SparkSession) -> str:
     app = sc.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="cohortspark-")
+        # The process that made the folder removes it; a configured folder belongs to its owner.
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
     return _local_roots[app]
 
 

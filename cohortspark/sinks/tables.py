@@ -26,18 +26,21 @@ def write_results(
     group_summaries: DataFrame,
     comparisons: DataFrame,
     comparison: str,
-    export_per_sample: bool = False,
-    export_sampled: bool = True,
+    export_per_sample: bool = True,
+    export_sampled: bool = False,
     sampled_n: int = 2000,
     seed: int = 42,
 ) -> dict[str, str]:
-    """The result tables of a run; a full per-sample export wins over the sampled one."""
+    """The result tables of a run. A drawn sample of the per-sample table is a file of its own beside the full one."""
     base = folder.rstrip("/")
     written = {}
-    if export_per_sample or export_sampled:
-        rows = sample_stats if export_per_sample else sampled_rows(sample_stats, sampled_n, seed)
+    named = sample_stats.withColumnsRenamed({"sample_id": "s", "grp": comparison})
+    if export_per_sample:
         written["sample_stats"] = f"{base}/sample_stats.tsv"
-        write_tsv(rows.withColumnsRenamed({"sample_id": "s", "grp": comparison}), written["sample_stats"])
+        write_tsv(named, written["sample_stats"])
+    if export_sampled:
+        written["sampled_stats"] = f"{base}/sample_stats_sampled.tsv"
+        write_tsv(sampled_rows(named, sampled_n, seed, "s"), written["sampled_stats"])
     written["group_summaries"] = f"{base}/group_summaries.tsv"
     write_tsv(group_summaries.withColumnRenamed("grp", comparison), written["group_summaries"], single_file=True)
     written["comparisons"] = f"{base}/pairwise_comparisons.tsv"

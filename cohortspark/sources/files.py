@@ -12,8 +12,19 @@ def _resolve(spark: SparkSession, path: str):
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or any path of a glob, is there."""
     fs, hadoop_path = _resolve(spark, path)
-    return fs.exists(hadoop_path)
+    return len(fs.globStatus(hadoop_path) or []) > 0
+
+
+def listing(spark: SparkSession, path: str) -> list[str]:
+    """Name, length and change time of every file under a path or glob, sorted."""
+    fs, hadoop_path = _resolve(spark, path)
+    found = []
+    for status in fs.globStatus(hadoop_path) or []:
+        below = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [f"{s.getPath()} {s.getLen()} {s.getModificationTime()}" for s in below]
+    return sorted(found)
 
 
 def list_names(spark: SparkSession, folder: str) -> list[str]:

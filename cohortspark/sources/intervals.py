@@ -27,6 +27,14 @@ def _columns(spark: SparkSession, path: str, comment: str) -> DataFrame:
     )
 
 
+def parses(spark: SparkSession, path: str) -> bool:
+    """Whether every line of an interval file has two whole numbers after the contig."""
+    f = F.split("value", "\t")
+    lines = spark.read.text(path).filter((F.col("value") != "") & ~F.col("value").rlike("^[#@]"))
+    broken = F.get(f, 1).try_cast("int").isNull() | F.get(f, 2).try_cast("int").isNull()
+    return lines.filter(broken).isEmpty()
+
+
 def read_bed_sites(spark: SparkSession, path: str) -> DataFrame:
     """BED for matching sites: 1-based closed ``start, end``; empty and reversed intervals dropped."""
     raw = _columns(spark, path, "^#")
@@ -74,10 +82,12 @@ def discover_beds(spark: SparkSession, folder: str) -> dict[str, str]:
 
 
 def present_sets(spark: SparkSession, paths: dict[str, str], on_missing: str) -> dict[str, str]:
-    """The named paths that exist; a missing one is an error, or left out with ``skip``."""
+    """The named paths or globs that exist; a missing one is an error, or left out with ``skip``, as is one that does not parse."""
     if on_missing not in ("error", "skip"):
         raise ValueError("on_missing is 'error' or 'skip'")
     there = {name: path for name, path in paths.items() if files.exists(spark, path)}
+    if on_missing == "skip":
+        there = {name: path for name, path in there.items() if parses(spark, path)}
     missing = sorted(set(paths) - set(there))
     if missing and on_missing == "error":
         raise FileNotFoundError(f"interval sets not found: {missing}")

@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# What label tables write for a missing label.
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN",
+    "None", "n/a", "nan", "null",
+)
+
+
+def label(column: Column) -> Column:
+    """A label, NULL where it is one of the words for a missing one. Ids are never read this way."""
+    return F.when(~column.isin(*MISSING), column)
+
+
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     """A TSV with header; every column as text, so an id such as ``007`` keeps its zeros."""
     return spark.read.csv(path, sep="\t", header=True, inferSchema=False)
@@ -13,7 +25,7 @@ def read_tsv(spark: SparkSession, path: str) -> DataFrame:
 
 def _label(df: DataFrame, id_column: str, label_column: str, name: str) -> DataFrame:
     return df.select(
-        F.col(f"`{id_column}`").cast("string").alias("sample_id"), F.col(f"`{label_column}`").alias(name)
+        F.col(f"`{id_column}`").cast("string").alias("sample_id"), label(F.col(f"`{label_column}`")).alias(name)
     )
 
 

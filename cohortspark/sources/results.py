@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import metrics
 from . import files
-from .labels import read_tsv
+from .labels import label, read_tsv
 
+# Columns that a comparison file must have, and the numeric ones.
 REQUIRED = {"group_x", "group_y", "comparison"}
+_LABELS = ["comparison", "ancestry", "group_x", "group_y"]
 _COUNTS = ["n_x", "n_y"]
 _NUMBERS = ["mean_x", "std_x", "mean_y", "std_y", "cohens_d", "p_value", "neg_log10_p"]
 
@@ -40,6 +42,8 @@ def _typed(raw: DataFrame) -> DataFrame:
             c = metrics.number(c).cast("bigint")
         elif name in _NUMBERS:
             c = metrics.number(c)
+        elif name in _LABELS:
+            c = label(c)
         columns.append(c.alias(name))
     typed = raw.select(*columns)
     return typed if "ancestry" in raw.columns else typed.withColumn("ancestry", F.lit("all"))

@@ -101,7 +101,9 @@ def test_keep_samples_both_ways(spark):
     rows = spark.createDataFrame([("a", 1), ("b", 1)], "sample_id string, v int")
     wanted = spark.createDataFrame([("a", "x", "g"), ("a", "y", "g")], "sample_id string, ancestry string, grp string")
     assert rows_of(call_ops.keep_samples(rows, wanted)) == [("a", 1)]
-    assert call_ops.keep_samples(rows, wanted, broadcast_ids=1).count() == 2
+    assert rows_of(call_ops.keep_samples(rows, wanted, broadcast_ids=0)) == [("a", 1)]
+    gappy = spark.createDataFrame([("a", None, "g"), ("a", "z", "h")], "sample_id string, ancestry string, grp string")
+    assert rows_of(counting.add_labels(rows, gappy)) == [("a", 1, "z", "h")]
     # A sample labelled twice is counted once, under its smallest label.
     assert rows_of(counting.add_labels(rows, wanted)) == [("a", 1, "x", "g")]
 
@@ -411,3 +413,23 @@ def test_breakdown_keeps_one_sided_contigs(spark):
         ("chr2", 2, 15, 1, 5), ("chr10", 1, 10, None, None), ("chrX", None, None, 1, 1)]
     totals = bed.breakdown_totals(parts).first()
     assert (totals.input_bp, totals.output_bp, totals.reduction_percent) == (25, 6, pytest.approx(76.0))
+
+
+def test_welch_and_d_of_tiny_groups(spark):
+    """One value has no variance: no error, and NULL where nothing is known."""
+    names = [m for m in pairwise.metrics.METRICS]
+    row = lambda s, g, v: (s, "eur", g, "S", *[float(v)] * len(names))
+    df = spark.createDataFrame([row("a", "A", 1), row("b", "B", 2), row("c", "C", 5), row("d", "C", 7), row("e", "C", 9)],
+                               "sample_id string, ancestry string, grp string, set_name string, " + ", ".join(f"{n} double" for n in names))
+    got = {(r.group_x, r.group_y): (r.cohens_d, r.p_value) for r in pairwise.compare_groups(df, min_samples=1, min_values=1).collect()}
+    assert got[("A", "B")] == (None, None) and got[("A", "C")][1] is None and got[("A", "C")][0] < 0
+    with pytest.raises(ValueError, match="min_values"):
+        pairwise.compare_groups(df, min_values=0)
+
+
+def test_cross_ancestry_with_pairs_the_other_way_round(spark):
+    rows = [("eur", "A", "B", "S_snp_total", 0.4, 0.01), ("afr", "B", "A", "S_snp_total", -0.3, 0.01)]
+    df = spark.createDataFrame(rows, "ancestry string, group_x string, group_y string, metric string, cohens_d double, p_value double").withColumn("neg_log10_p", F.lit(2.0))
+    got = report.cross_ancestry(report.parsed(df), "eur", "afr").collect()
+    assert [(r.group_pair, r.d_x, r.d_y) for r in got] == [("A vs B", 0.4, 0.3)]
+    assert report.stored_pairs(report.parsed(df)) == ["A vs B", "B vs A"]

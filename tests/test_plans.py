@@ -79,6 +79,10 @@ def test_run_and_report(spark, cohort, tmp_path):
     assert results.comparisons.count() == 2 * 2 * 4  # ancestries x sets x metrics
     assert set(results.written) == {"sample_stats", "group_summaries", "comparisons"}
 
+    drawn = run_cohort(spark, settings(cohort, output_dir=str(tmp_path / "drawn"), export_sampled_per_sample=True, sampled_per_sample_n=9))
+    assert spark.read.csv(drawn.written["sampled_stats"], sep="\t", header=True).count() == 9
+    assert spark.read.csv(drawn.written["sample_stats"], sep="\t", header=True).count() == 47
+
     again = run_cohort(spark, settings(cohort, cache_path=cache))
     assert again.written == {}
     cached = run_cohort(spark, CohortSettings(
@@ -106,6 +110,8 @@ def test_run_settings(spark, cohort, tmp_path):
     assert all(loose[s] > strict[s] for s in loose)
     with pytest.raises(ValueError, match="No groups"):
         run_cohort(spark, settings(cohort, samples_per_group=30, ancestries=["nowhere"]))
+    with pytest.raises(ValueError, match="min_values"):
+        CohortSettings(cohort["vcf"], cohort["anc"], cohort["grp"], "site", cohort["sets"], min_values=0)
     with pytest.raises(ValueError, match="interval"):
         CohortSettings(cohort["vcf"], cohort["anc"], cohort["grp"], "site")
 
