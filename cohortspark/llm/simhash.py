@@ -129,14 +129,16 @@ def _large_forest(fps: np.ndarray, key: int) -> tuple[np.ndarray, np.ndarray]:
 
     def join(own: np.ndarray, mask: int) -> None:
         other = own ^ np.uint64(mask)
-        for a, b in zip(own[np.isin(other, own)], other[np.isin(other, own)]):
+        found = own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other
+        for a, b in zip(own[found], other[found]):
             x, y = root(int(np.searchsorted(classes, a))), root(int(np.searchsorted(classes, b)))
             parent[max(x, y)] = min(x, y)
 
     for bit in range(BLOCK_BITS):
         join(classes, 1 << bit)
-    for bits in combinations(range(BLOCK_BITS), 3):
-        join(np.unique(values[centre]), sum(1 << b for b in bits))
+    central = np.unique(values[centre])
+    for bits in combinations(range(BLOCK_BITS), 3) if len(central) else ():
+        join(central, sum(1 << b for b in bits))
     roots = np.array([root(i) for i in range(len(classes))])
     heads = fps[first[roots[inverse]]]
     other = heads != fps

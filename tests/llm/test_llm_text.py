@@ -246,15 +246,15 @@ def test_fingerprint_in_pieces(monkeypatch):
     assert simhash.fingerprint(text.encode()) == whole == brute_fingerprint(text)
 
 
-@pytest.mark.parametrize("seed", range(5))
+@pytest.mark.parametrize("seed", range(3))
 def test_large_groups_link_like_small_ones(seed):
     """All members of one variant: both ways give the same components, over all variants."""
     rng = np.random.default_rng(seed)
     centre = rng.integers(0, 1 << 63, dtype=np.uint64)
     fps = {int(centre)}
-    for _ in range(300):
+    for _ in range(60):
         x = int(centre)
-        for b in rng.choice(24, rng.integers(0, 6)):
+        for b in rng.choice(20, rng.integers(0, 5)):
             x ^= 1 << int(b)
         fps.add(x)
     fps = np.array(sorted(fps), np.uint64)
@@ -271,6 +271,8 @@ def test_large_groups_link_like_small_ones(seed):
             keys = (simhash._rest(fps, block)[:, None] ^ np.concatenate([np.zeros(1, np.uint64), np.uint64(1) << np.arange(48, dtype=np.uint64)])) | np.uint64(block << 48)
             for key in np.unique(keys):
                 own = fps[(keys == key).any(axis=1)]
+                if len(own) < 2:
+                    continue
                 for a, b in zip(*forest(own, int(key))):
                     x, y = root(int(a)), root(int(b))
                     parent[max(x, y)] = min(x, y)
