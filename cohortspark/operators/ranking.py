@@ -7,6 +7,8 @@ together. A stratum that holds a third of all rows is thus spread over its bucke
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,9 +27,19 @@ def draw_bucket(key: Column) -> Column:
     return F.substr(key, F.lit(1), F.lit(3))
 
 
-def value_bucket(value: Column) -> Column:
-    """Order-preserving slices of a number, about one per cent wide; under 10,000 for any long."""
-    return F.floor(64 * F.signum(value) * F.log2(1 + F.abs(value))).cast("int")
+def fitted_buckets(counted: DataFrame, by: list[str], value: str, buckets: int = 64) -> DataFrame:
+    """Add ``_slice``, an order-preserving bucket number fitted to the values of each stratum.
+
+    Cut points are approximate quantiles of the distinct values, one bounded list per stratum, so values that lie close
+    together spread over the buckets as well as those that lie far apart. ``counted`` holds each value once.
+    """
+    shares = [k / buckets for k in range(1, buckets)]
+    keys = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in by]
+    cuts = counted.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.percentile_approx(value, shares, 1_000).alias("_cuts"))
+    same = [k == F.col(f"_k{i}") for i, k in enumerate(keys)]
+    joined = counted.join(cuts, reduce(Column.__and__, same), "inner")
+    below = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
+    return joined.select(*counted.columns, below.alias("_slice"))
 
 
 def running_total(
@@ -111,7 +123,8 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, probabilities: dic
         df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull())
         .groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
     )
-    ranked = running_total(counted, by, value_bucket(F.col("_x")), [F.col("_x")], F.col("_c"))
+    sliced = fitted_buckets(counted, by, "_x")
+    ranked = running_total(sliced, by, F.col("_slice"), [F.col("_x")], F.col("_c")).drop("_slice")
     last = (F.col("_whole") - 1).cast("double")
 
     def at(rank: Column) -> Column:

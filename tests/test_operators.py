@@ -151,6 +151,13 @@ def test_repeat_rows_past_one_block(spark):
     assert rows_of(ranking.repeat_rows(df, "n").groupBy("k").count()) == [("a", 25_001), ("c", 10_000)]
 
 
+def test_quantile_buckets_fit_the_values(spark):
+    """Values within a third of a per cent of each other still spread over the buckets."""
+    rows = spark.range(200_000).selectExpr("CASE WHEN id % 2 = 0 THEN 'a' END AS g", "CAST(4000000 + id / 20 AS DOUBLE) AS v")
+    sizes = [r["count"] for r in ranking.fitted_buckets(rows, ["g"], "v").groupBy("g", "_slice").count().collect()]
+    assert len(sizes) == 128 and max(sizes) < 3 * 200_000 / 128 and sum(sizes) == 200_000
+
+
 def test_exact_quantiles(spark):
     import numpy as np
 
