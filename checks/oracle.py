@@ -342,9 +342,8 @@ _QUERIES["q_report_distributions"] = _QUERIES["q_results_distributions"]
 _QUERIES["q_bed_roundtrip"] = "SELECT contig, start0, end0 FROM strat_kept"
 _QUERIES["q_vcf_cache_options"] = """SELECT 'all' AS import, contig, pos, ref, alt FROM vcf_sites
   UNION ALL SELECT 'frequent', contig, pos, ref, alt FROM vcf_sites WHERE max_af > 0.01 OR max_ac > 100"""
-_QUERIES["q_heatmap_reversed"] = "SELECT ancestry, set_name || ' / ' || metric_name AS row_label, " + ", ".join(
-    f"round(-max(cohens_d) FILTER (WHERE group_x = '{x}' AND group_y = '{y}'), 6) AS \"{y} vs {x}\"" for x, y in _pairs()
-) + " FROM compared JOIN named USING (metric_type) GROUP BY ALL"
+_QUERIES["q_heatmap_reversed"] = """SELECT ancestry, set_name || ' / ' || metric_name AS row_label, group_y || ' vs ' || group_x AS group_pair,
+  round(-cohens_d, 6) AS cohens_d FROM compared JOIN named USING (metric_type) WHERE cohens_d IS NOT NULL"""
 _PCA_PAIRS = [(i, j) for i in range(len(fx.PCA_METRICS)) for j in range(i, len(fx.PCA_METRICS))]
 _QUERIES["q_pca_moments"] = " UNION ALL ".join(
     f"""SELECT ancestry, {i} AS i, {j} AS j, count(*) AS n, round(avg(coalesce({fx.PCA_METRICS[i]}, 0)), 6) AS mean_i,

@@ -550,5 +550,9 @@ def q_report_distributions(spark, sf_dir):
 
 @query
 def q_heatmap_reversed(spark, sf_dir):
-    """Pairs stored in another order than the alphabet's keep their columns."""
-    return rounded(build_report(spark, written_results(spark, sf_dir, fx.GROUPS[::-1]))["heatmap"])
+    """Pairs stored in another order than the alphabet's keep their columns; the cells of the matrix as rows."""
+    matrix = build_report(spark, written_results(spark, sf_dir, fx.GROUPS[::-1]))["heatmap"]
+    cells = [F.struct(F.lit(c).alias("group_pair"), F.col(f"`{c}`").alias("cohens_d")) for c in matrix.columns if " vs " in c]
+    none = F.expr("CAST(array() AS ARRAY<STRUCT<group_pair: STRING, cohens_d: DOUBLE>>)")
+    rows = matrix.select("ancestry", "row_label", F.inline(F.array(*cells) if cells else none))
+    return rounded(rows.filter("cohens_d IS NOT NULL"))
