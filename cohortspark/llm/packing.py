@@ -19,6 +19,8 @@ import heapq
 import re
 import sys
 import types
+from array import array
+from bisect import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +38,28 @@ PIECE = 256
 #: Pieces packed together.
 BLOCK = 2_048
 #: Words remembered per worker, and the longest that is.
-_WORDS, _WORD_CHARS = 400_000, 32
-#: A single space between two other characters always begins a new word for the tokenizer.
+_WORDS, _WORD_CHARS = 700_000, 32
+#: A single space between two other characters always begins a new word for the tokenizer, as does a sign after a letter.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_SIGNS = ".,!?;:%$&*#"
+#: How byte-level vocabularies spell a byte: printable ones as themselves, the others, in order, from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
+
+
+def _words(text: str) -> list[str]:
+    """The text cut at those spaces. With no white space but spaces and line ends, none of them touching, every space is one."""
+    plain = not ("  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " ")
+    return text.split(" ") if plain and all(map(str.isprintable, text.split("\n"))) else _CUT.split(text)
+
+
+class _Known(dict):
+    """Words seen before; ``extra`` holds those of the texts at hand."""
+
+    extra: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        return self.extra[word]
 
 
 class _Encoder:
@@ -49,26 +70,49 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.known = _Known()
+        self.tails: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = []
         for k in range(0, len(texts), 1_000):
-            found += [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts[k : k + 1_000], add_special_tokens=False)]
+            found += [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts[k : k + 1_000], add_special_tokens=False)]
+        return found
+
+    def _word(self, word: str) -> bytes:
+        spelled = word.encode().decode("latin-1").translate(_BYTES)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of new words, each with the space before it. Signs at the end are looked up apart."""
+        stems = {w: w.rstrip(_SIGNS) for w in words}
+        apart = {w: s for w, s in stems.items() if len(s) < len(w) and s and s[-1].isalpha()}
+        whole = list({w for w in words if w not in apart} | {s for s in apart.values() if s not in self.known})
+        # A space and letters are one word to the tokenizer: its model can be asked directly.
+        found = {w: self._word(" " + w) for w in whole if w.isalpha()}
+        mixed = [w for w in whole if w not in found]
+        found |= zip(mixed, self._encode([" " + w for w in mixed]))
+        for w in whole[: max(0, _WORDS - len(self.known))]:
+            if len(w) <= _WORD_CHARS:
+                self.known[w] = found[w]
+        tails = list({w[len(s):] for w, s in apart.items()} - self.tails.keys())
+        new = dict(zip(tails, self._encode(tails)))
+        self.tails |= {t: i for t, i in new.items() if len(t) <= 4}
+        for w, s in apart.items():
+            tail = w[len(s):]
+            found[w] = (self.known.get(s) or found[s]) + (self.tails.get(tail) or new[tail])
+            if len(self.known) < _WORDS and len(w) <= _WORD_CHARS:
+                self.known[w] = found[w]
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
-        split = [_CUT.split(t) for t in texts]
-        first = self._encode([s[0] for s in split])
-        new = list({w for s in split for w in s[1:] if w not in self.known})
-        extra = dict(zip(new, self._encode([" " + w for w in new])))
-        for w in new[: max(0, _WORDS - len(self.known))]:
-            if len(w) <= _WORD_CHARS:
-                self.known[w] = extra[w]
-        out = []
-        for head, s in zip(first, split):
-            out.append(head + b"".join([self.known.get(w) or extra[w] for w in s[1:]]))
+        split = [_words(t) for t in texts]
+        out = self._encode([s.pop(0) for s in split])
+        known = self.known
+        known.extra = self._learn([w for w in set().union(*split) if w not in known])
+        for k, s in enumerate(split):
+            out[k] += b"".join(map(known.__getitem__, s))
         return out
 
 
@@ -83,37 +127,48 @@ def _encoder(path: str) -> _Encoder:
 def difference(sizes: np.ndarray, windows: int) -> np.ndarray:
     """Window of each piece after multiway differencing into ``windows`` windows.
 
-    A partial partition is a list of windows, fullest first, with the emptiest one's size taken off all; windows that are
-    empty are left out.
+    A partial partition is its non-empty windows, emptiest first: their sums and their numbers. Its imbalance is that of the
+    fullest and the emptiest window. Windows that meet get a new number; in the end the numbers are followed back.
     """
-    merged_from, merged_to, counter = [], [], len(sizes)
-    heap = [(-int(s), i, np.array([s]), np.array([i])) for i, s in enumerate(sizes)]
+    met_from, met_to, counter = [], [], len(sizes)
+    heap = [(-int(s), i, [int(s)], [i]) for i, s in enumerate(sizes)]
     heapq.heapify(heap)
     while len(heap) > 1:
         _, _, a, ids_a = heapq.heappop(heap)
         _, tie, b, ids_b = heapq.heappop(heap)
+        if len(a) < len(b):
+            a, ids_a, b, ids_b = b, ids_b, a, ids_a
         shared = len(a) + len(b) - windows
-        if shared <= 0:
-            sums, ids = np.concatenate([a, b]), np.concatenate([ids_a, ids_b])
+        if len(b) == 1:
+            # The commonest case: one piece joins a partition, in its emptiest window.
+            total, number = b[0], ids_b[0]
+            if shared > 0:
+                total += a.pop(0)
+                met_from += [ids_a.pop(0), number]
+                met_to += [counter, counter]
+                number = counter
+                counter += 1
+            place = bisect(a, total)
+            a.insert(place, total)
+            ids_a.insert(place, number)
         else:
-            # The last ``shared`` windows of one meet the last ones of the other, small with large.
-            sums = np.concatenate([a[:-shared], b[:-shared], a[-shared:] + b[-shared:][::-1]])
-            new = np.arange(counter, counter + shared)
-            counter += shared
-            merged_from += [ids_a[-shared:], ids_b[-shared:][::-1]]
-            merged_to += [new, new]
-            ids = np.concatenate([ids_a[:-shared], ids_b[:-shared], new])
-        order = np.argsort(-sums, kind="stable")
-        sums, ids = sums[order], ids[order]
-        if len(sums) == windows:
-            sums = sums - sums[-1]
-        heapq.heappush(heap, (-int(sums[0] - (sums[-1] if len(sums) == windows else 0)), tie, sums, ids))
-    owner = np.full(counter, -1, np.int64)
-    final = heap[0][3]
-    owner[final] = np.arange(len(final))
-    for own, to in zip(reversed(merged_from), reversed(merged_to)):
+            shared = max(0, shared)
+            pairs = [*zip(a[shared:], ids_a[shared:]), *zip(b[shared:], ids_b[shared:])]
+            # The emptiest ``shared`` windows of one meet those of the other, small with large.
+            for x, i, y, j in zip(a[:shared], ids_a[:shared], reversed(b[:shared]), reversed(ids_b[:shared])):
+                pairs.append((x + y, counter))
+                met_from += [i, j]
+                met_to += [counter, counter]
+                counter += 1
+            pairs.sort()
+            a, ids_a = [x for x, _ in pairs], [i for _, i in pairs]
+        heapq.heappush(heap, (-(a[-1] - (a[0] if len(a) == windows else 0)), tie, a, ids_a))
+    owner = [-1] * counter
+    for window, number in enumerate(heap[0][3]):
+        owner[number] = window
+    for own, to in zip(reversed(met_from), reversed(met_to)):
         owner[own] = owner[to]
-    return owner[: len(sizes)]
+    return np.array(owner[: len(sizes)])
 
 
 def pack_block(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
