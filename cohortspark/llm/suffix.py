@@ -140,27 +140,30 @@ def _digits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([_long(digit), _long(whole)], ["digit", "whole"])
 
 
+def _mark(content: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Hash of a run's place, by which the filter of chosen runs knows it again."""
+    return _mix(content.view(np.uint64) + _mix(low.astype(np.uint64))).view(np.int64)
+
+
 def _kept_runs(repeated, size: int):
     """Runs whose digit the filter may hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = repeated.value
         for batch in batches:
+            content = batch.column(1).to_numpy(zero_copy_only=False)
             for row, digit, whole, low, high, *_ in _scan(batch.column(2)):
                 at = np.flatnonzero(bitmap._get(bits, digit.view(np.int64) & np.int64(size - 1)))
                 own = pa.array(row[at])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(own), batch.column(1).take(own), _long(digit[at]), _long(whole[at]), pa.array(low[at]), pa.array(high[at])],
-                    ["id", "content", "digit", "whole", "low", "high"],
+                    [batch.column(0).take(own), batch.column(1).take(own), _long(digit[at]), _long(whole[at]), pa.array(low[at]), pa.array(high[at]),
+                     pa.array(_mark(content[row[at]], low[at]))],
+                    ["id", "content", "digit", "whole", "low", "high", "mark"],
                 )
 
     return run
 
 
-def _ref(content: np.ndarray, low: np.ndarray) -> np.ndarray:
-    return _mix(content.view(np.uint64) + _mix(low.astype(np.uint64))).view(np.int64)
-
-
 def _near_bytes(chosen, size: int):
     """Bytes under the runs that the filter may hold."""
 
@@ -169,7 +172,7 @@ def _near_bytes(chosen, size: int):
         for batch in batches:
             content = batch.column(1).to_numpy(zero_copy_only=False)
             for row, digit, _, low, high, place, data, offsets in _scan(batch.column(2)):
-                at = np.flatnonzero(bitmap._get(bits, _ref(content[row], low) & np.int64(size - 1)))
+                at = np.flatnonzero(bitmap._get(bits, _mark(content[row], low) & np.int64(size - 1)))
                 own = pa.array(row[at])
                 begin, end = offsets[row[at]] + low[at], offsets[row[at]] + high[at] + WINDOW
                 yield pa.RecordBatch.from_arrays(
@@ -242,19 +245,14 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", max_
     repeated = bitmap.build(groups.select("digit"), size)
     # A row's own hash tells runs of a group apart; equal texts share it, and so do their results.
     ref = F.xxhash64("id", "content", "low")
-    runs = source.mapInArrow(_kept_runs(repeated, size), f"id {kind}, content bigint, digit bigint, whole bigint, low bigint, high bigint").withColumn("ref", ref)
+    runs = source.mapInArrow(_kept_runs(repeated, size), f"id {kind}, content bigint, digit bigint, whole bigint, low bigint, high bigint, mark bigint").withColumn("ref", ref)
     total = groups.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     settled, chosen = _settle(runs, groups, total)
 
-    chosen = cut_lineage(chosen.select("id", "content", "low", "high").distinct())
+    chosen = cut_lineage(chosen.select("id", "content", "low", "high", "mark").distinct())
     n_chosen = chosen.count()
     size = bitmap.size_for(n_chosen, bits_per_row=64, most=max_bits)
-
-    @F.arrow_udf("bigint")
-    def refs(contents: pa.Array, lows: pa.Array) -> pa.Array:
-        return pa.array(_ref(contents.to_numpy(zero_copy_only=False), lows.to_numpy(zero_copy_only=False)))
-
-    wanted = bitmap.build(chosen.select(refs("content", "low")), size)
+    wanted = bitmap.build(chosen.select("mark"), size)
     near = source.mapInArrow(_near_bytes(wanted, size), f"id {kind}, content bigint, start bigint, place bigint, anchor bigint, near binary")
     same_text = F.col("c.id").eqNullSafe(F.col("n.id")) & (F.col("c.content") == F.col("n.content")) & (F.col("c.low") == F.col("n.start"))
     # Copies of a row bring the same bytes; one of them is enough.
