@@ -108,6 +108,22 @@ def _runs(data: np.ndarray, left: np.ndarray, first: _Rolling, second: _Rolling)
     return digit[place], whole, low, high, place
 
 
+def _chunks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Stretches of at most ``_CHUNK`` bytes: texts are cut at multiples of it from their own first byte, short neighbours go together.
+
+    So where a run is cut depends on its text alone, not on the rows that share a batch.
+    """
+    begin = stop = int(offsets[0])
+    for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        for cut in [*range(start + _CHUNK, end, _CHUNK), end]:
+            if cut - begin > _CHUNK:
+                yield begin, stop
+                begin = stop
+            stop = cut
+    if stop > begin:
+        yield begin, stop
+
+
 def _scan(column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
     """Runs of a batch of texts: row, digit, whole, then low, high and place counted in the row's text; and the bytes."""
     offsets = np.frombuffer(column.buffers()[1], np.int32 if pa.types.is_binary(column.type) else np.int64)[column.offset : column.offset + len(column) + 1].astype(np.int64)
@@ -115,10 +131,11 @@ def _scan(column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
         return
     data = np.frombuffer(column.buffers()[2], np.uint8)
     first, second = _hashes(_CHUNK + WINDOW + 1)
-    for begin in range(int(offsets[0]), int(offsets[-1]), _CHUNK):
-        end = min(begin + _CHUNK + WINDOW - 1, int(offsets[-1]))
+    for begin, stop in _chunks(offsets):
+        # Windows that start before ``stop`` may end after it.
+        end = min(stop + WINDOW - 1, int(offsets[-1]))
         if end - begin < WINDOW:
-            break
+            continue
         a, b = np.searchsorted(offsets, begin, "right") - 1, np.searchsorted(offsets, end, "left")
         bounds = np.clip(offsets[a : b + 1], begin, end)
         left = np.repeat(offsets[a + 1 : b + 1], np.diff(bounds)) - np.arange(begin, end)

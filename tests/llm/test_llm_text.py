@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -322,6 +323,49 @@ def test_suffix_against_brute_force(spark):
     assert sum(g.sum() for g in gone) > 5000 and got[0].spans == "z"
 
 
+def long_texts():
+    rng = random.Random(12)
+    noise = lambda n: "".join(rng.choice("abcdefghij klmnop") for _ in range(n))
+    passage = noise(90_000)
+    return ["", noise(150), noise(500) + passage + noise(70), noise(41_000), passage[:70_000] + noise(33), "", noise(7) + passage[20_000:], passage[:32_900], noise(199)]
+
+
+def test_runs_depend_on_the_text_alone():
+    def runs(texts):
+        found = {}
+        for row, digit, whole, low, high, place, *_ in suffix._scan(pa.array([t.encode() for t in texts], pa.binary())):
+            for r, *rest in zip(row.tolist(), digit.tolist(), whole.tolist(), low.tolist(), high.tolist(), place.tolist()):
+                found.setdefault(texts[r], []).append(tuple(rest))
+        return {t: sorted(v) for t, v in found.items()}
+
+    texts = long_texts()
+    want = {t: v for own in texts for t, v in runs([own]).items()}
+    assert all(sum(high - low + 1 for _, _, low, high, _ in want[t]) == len(t) - 199 for t in texts if len(t) >= 200)
+    assert runs(texts) == runs(texts[::-1]) == want
+
+
+def test_suffix_when_scans_see_other_batches(spark, monkeypatch):
+    """The third scan reads the rows in another order and other batches than the second."""
+    original = suffix._near_bytes
+
+    def rebatched(chosen, size):
+        scan = original(chosen, size)
+
+        def run(batches):
+            rows = pa.Table.from_batches(batches)
+            back = rows.take(pa.array(range(len(rows) - 1, -1, -1), pa.int64())).combine_chunks()
+            yield from scan(iter(back.to_batches(max_chunksize=2))) if len(rows) else ()
+
+        return run
+
+    texts = long_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    monkeypatch.setattr(suffix, "_near_bytes", rebatched)
+    got = {r.doc_id: bytes(r.kept) for r in suffix.remove_repeats(docs).collect()}
+    data, gone = brute_repeats(texts)
+    assert got == {i: bytes(b for b, out in zip(x, g) if not out) for i, (x, g) in enumerate(zip(data, gone))}
+
+
 def test_suffix_empty(spark):
     assert suffix.remove_repeats(make(spark, [])).count() == 0
 
