@@ -1,13 +1,14 @@
 """Personal data: pattern matches, and terms that give them away.
 
 Emails, IP addresses, card and phone numbers are found by fixed patterns and are the protected entities. What a
-term near an entity discloses about it is measured over the whole corpus: the pointwise mutual information of
-term and entity over documents, as a share of the entity's own information (1: the term never occurs without the
+term discloses about one is measured over whole documents: the pointwise mutual information of
+term and entity, as a share of the entity's own information (1: the term never occurs without the
 entity). Where terms reach ``generalise`` of it they are replaced by their class, from ``remove`` on they are deleted. Copies
-of a passage count as one piece of evidence: a rule needs ``min_contexts`` different surroundings.
+of a passage count as one piece of evidence: a rule needs ``min_contexts`` documents that differ in the ``near`` words around the
+entity or around the term, or as many different surroundings of the entity with the term among them.
 
-A term is a word with a letter, at most ``near`` words from the entity. Rules apply where a term stands near the entity it
-discloses. Scanning is linear in the text, also for long runs of characters that never become a match.
+A term is a word with a letter. Rules apply wherever a term stands outside of matches, also far from the entity and in documents
+without it. Scanning is linear in the text, also for long runs of characters that never become a match.
 
 Edge cases: a null text is empty; rows with equal ids and texts get equal results and count as documents each; an
 empty table gives an empty one. Input columns named like an output column are replaced.
@@ -16,12 +17,15 @@ empty table gives an empty one. Input columns named like an output column are re
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortspark.llm import bitmap
 from cohortspark.llm.common import LOWER, UPPER, lookup, text_of, words
 from cohortspark.shared import cut_lineage
 
@@ -37,7 +41,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[0-9A-Za-z\u0080-\U0010FFFF]+")
 _NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 _LOWER = str.maketrans(UPPER, LOWER)
-#: Characters around an entity in which its neighbours are looked for.
+#: Characters around an entity in which its surroundings are looked for.
 _AROUND = 400
 
 
@@ -100,7 +104,7 @@ def _neighbours(text: str, start: int, end: int, taken: list[tuple[int, int, int
     for m in before + after:
         a, b = m.span()
         word = m.group().translate(_LOWER)
-        if len(word) >= 3 and not word.isdigit() and not any(s < b and a < e for s, _, e in taken):
+        if _is_term(word) and not any(s < b and a < e for s, _, e in taken):
             out.append((word, a, b))
     return out
 
@@ -113,8 +117,7 @@ def _scan(near: int):
     def one(text: str) -> dict:
         spans, entities, mentions = base_spans(text), set(), []
         for start, k, end in spans:
-            value = text[start:end]
-            entity = f"{KINDS[k]}:" + (value.translate(_LOWER) if k < 2 else "".join(c for c in value if c.isdigit()))
+            entity = _entity(text, start, k, end)
             entities.add(entity)
             around = _neighbours(text, start, end, spans, near)
             context = xxhash.xxh64_intdigest(" ".join(w for w, _, _ in around)) - (1 << 63)
@@ -131,15 +134,100 @@ def _scan(near: int):
     return run
 
 
-def rules(found: DataFrame, docs: DataFrame, text: str, generalise: float, remove: float, min_contexts: int) -> DataFrame:
+def _entity(text: str, start: int, kind: int, end: int) -> str:
+    value = text[start:end]
+    return f"{KINDS[kind]}:" + (value.translate(_LOWER) if kind < 2 else "".join(c for c in value if c.isdigit()))
+
+
+def _may_hold(bits, size: int, values: list[str]) -> list[bool]:
+    """Whether the filter may hold the strings, hashed as ``xxhash64`` does."""
+    slots = np.array([xxhash.xxh64_intdigest(v.encode(), 42) & (size - 1) for v in values], np.int64)
+    return bitmap._get(bits, slots).tolist()
+
+
+def _is_term(word: str) -> bool:
+    return len(word) >= 3 and not word.isdigit()
+
+
+def _pairs(wanted, size: int, near: int):
+    """Each entity that the filter may hold with every term of the document, once; and the hash of both surroundings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = wanted.value
+        for batch in batches:
+            for text in batch.column(0):
+                text = text.as_py()
+                spans, around = base_spans(text), {}
+                for start, k, end in spans:
+                    entity = _entity(text, start, k, end)
+                    if entity not in around:
+                        around[entity] = " ".join(w for w, _, _ in _neighbours(text, start, end, spans, near))
+                own = list(around)
+                own = [e for e, held in zip(own, _may_hold(bits, size, own)) if held]
+                if not own:
+                    continue
+                all_words, first = _WORD.findall(text.translate(_LOWER)), {}
+                for i, word in enumerate(all_words):
+                    if word not in first and _is_term(word):
+                        first[word] = " ".join(all_words[max(0, i - near) : i] + all_words[i + 1 : i + 1 + near])
+                terms = pa.array(list(first), pa.string())
+                for entity in own:
+                    context = [xxhash.xxh64_intdigest(f"{around[entity]}\n{c}") - (1 << 63) for c in first.values()]
+                    yield pa.RecordBatch.from_arrays([pa.array([entity] * len(terms), pa.string()), terms, pa.array(context, pa.int64())], ["entity", "term", "context"])
+
+    return run
+
+
+def _marked(wanted, size: int):
+    """Words of a text that the filter may hold, outside of matches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = wanted.value
+        for batch in batches:
+            for row, text in enumerate(batch.column(2)):
+                text = text.as_py()
+                found = [(m.group().translate(_LOWER), *m.span()) for m in _WORD.finditer(text)]
+                held = dict.fromkeys(w for w, _, _ in found if _is_term(w))
+                held = {w for w, h in zip(held, _may_hold(bits, size, list(held))) if h}
+                found = [f for f in found if f[0] in held]
+                if not found:
+                    continue
+                spans, at, kept, reach = base_spans(text), 0, [], 0
+                for word, a, b in found:
+                    while at < len(spans) and spans[at][0] < b:
+                        reach = max(reach, spans[at][2])
+                        at += 1
+                    if reach <= a:
+                        kept.append((word, a, b))
+                own = pa.array([row] * len(kept), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(own), batch.column(1).take(own), pa.array([w for w, _, _ in kept], pa.string()),
+                     pa.array([a for _, a, _ in kept], pa.int32()), pa.array([b for _, _, b in kept], pa.int32())],
+                    ["id", "content", "term", "start", "end"],
+                )
+
+    return run
+
+
+def rules(found: DataFrame, docs: DataFrame, text: str, near: int, generalise: float, remove: float, min_contexts: int) -> DataFrame:
     """entity, term, n_both (documents with both) and action, for the terms that disclose too much."""
     total = F.lit(max(found.count(), 1)).cast("double")
+    mentions = found.select(F.explode("scan.mentions").alias("m")).select("m.entity", "m.term", "m.context")
+    seen = mentions.groupBy("entity").agg(F.countDistinct("context").alias("n_seen"))
+    # Others have too few surroundings for any rule.
+    entities = cut_lineage(
+        found.select(F.explode("scan.entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).join(seen, "entity", "left")
+        .filter((F.col("n_entity") >= min_contexts) | (F.col("n_seen") >= min_contexts)).select("entity", "n_entity")
+    )
+    size = bitmap.size_for(entities.count())
+    wanted = bitmap.build(entities.select(F.xxhash64("entity").alias("h")), size)
+    whole = docs.select(text_of(text).alias("text")).mapInArrow(_pairs(wanted, size, near), "entity string, term string, context bigint")
+    evidence = whole.withColumn("whole", F.lit(True)).union(mentions.withColumn("whole", F.lit(False)))
     both = (
-        found.select(F.explode("scan.mentions").alias("m"), "row").select("m.entity", "m.term", "m.context", "row")
-        .groupBy("entity", "term").agg(F.countDistinct("row").alias("n_both"), F.countDistinct("context").alias("n_contexts"))
-        .filter(F.col("n_contexts") >= min_contexts)
+        evidence.groupBy("entity", "term", "whole", "context").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("entity", "term").agg(F.sum(F.when(F.col("whole"), F.col("n"))).alias("n_both"), F.count(F.when(F.col("whole"), 1)).alias("n_whole"), F.count(F.when(~F.col("whole"), 1)).alias("n_near"))
+        .filter(F.greatest("n_whole", "n_near") >= min_contexts)
     )
-    entities = found.select(F.explode("scan.entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     terms = docs.select(F.explode(F.array_distinct(words(text))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     own = F.log(total / F.col("n_entity"))
     shared = F.log(F.col("n_both") * total / (F.col("n_term") * F.col("n_entity")))
@@ -172,11 +260,16 @@ def sanitise(
     content = F.xxhash64(text_of(text))
     # Scanned once and stored: spans and surroundings of matches, a small part of the texts.
     found = cut_lineage(docs.select(F.col(key).alias("id"), content.alias("content"), _scan(near)(text_of(text)).alias("scan"), F.monotonically_increasing_id().alias("row")))
-    disclosed = cut_lineage(rules(found, docs, text, generalise, remove, min_contexts))
-    mentions = found.select("id", "content", F.explode("scan.mentions").alias("m")).select("id", "content", "m.entity", "m.term", "m.start", "m.end")
-    total = found.agg(F.coalesce(F.sum(F.size("scan.mentions")), F.lit(0))).first()[0]
+    disclosed = cut_lineage(rules(found, docs, text, near, generalise, remove, min_contexts).groupBy("term").agg(F.max("action").alias("action")))
+    size = bitmap.size_for(disclosed.count())
+    wanted = bitmap.build(disclosed.select(F.xxhash64("term").alias("h")), size)
+    kind = found.schema["id"].dataType.simpleString()
+    source = docs.select(F.col(key).alias("id"), content.alias("content"), text_of(text).alias("text"))
+    mentions = source.mapInArrow(_marked(wanted, size), f"id {kind}, content bigint, term string, start int, end int")
+    mentions = source.sparkSession.createDataFrame([], mentions.schema) if disclosed.isEmpty() else cut_lineage(mentions)
+    facts = disclosed.join(mentions.groupBy("term").agg(F.count(F.lit(1)).alias("n_rows")), "term")
     terms = (
-        lookup(mentions, disclosed, ["entity", "term"], "n_both", total, F.struct("content", "start")).filter("action IS NOT NULL")
+        lookup(mentions, facts, ["term"], "n_rows", mentions.count(), F.struct("content", "start")).filter("action IS NOT NULL")
         .groupBy("id", "content", "start", "end").agg(F.max("action").alias("action"))
         .groupBy("id", "content").agg(F.array_sort(F.collect_list(F.struct("start", "end", "action"))).alias("term_spans"))
     )

@@ -425,3 +425,19 @@ def test_terms_that_disclose(spark):
         elif not r.base_spans:
             assert r.clean_text == (r.text or "")
     assert pii.sanitise(make(spark, [])).count() == 0
+
+
+def test_terms_far_from_the_entity(spark):
+    """A name at the top discloses the address at the foot, and is marked further down and where the address is not written."""
+    rng = random.Random(11)
+    filler = lambda n: " ".join(rng.choice("alpha beta gamma delta epsilon zeta theta".split()) for _ in range(n))
+    foot = "contact the office at boss@corp.example for more"
+    texts = [f"{filler(9)} Bluebird {filler(300)} bluebird {filler(40)} {foot}" for _ in range(20)]
+    texts += [f"{filler(30)} bluebird {filler(30)}"] + [f"{filler(40)} contact the office at home for more" for _ in range(200)]
+    texts += ["owl " + filler(200) + " one@copy.example"] * 9
+    got = pii.sanitise(make(spark, texts)).collect()
+    for r in got:
+        want = [m.span() for m in re.finditer("bluebird", r.text.lower())]
+        assert [(s.start, s.end) for s in r.term_spans if r.text[s.start : s.end].lower() != "owl"] == want, r.text[:80]
+        assert "bluebird" not in r.clean_text.lower() and ("owl" not in r.text or not r.term_spans)
+    assert sum(r.n_term for r in got) == 41
