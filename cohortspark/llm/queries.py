@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import decontam, exact, langid, lines, packing, pii, sharding, simhash, suffix, warc
+from cohortspark.llm import decontam, exact, langid, lines, mixing, packing, pii, runs, search, sharding, simhash, suffix, warc
 from cohortspark.llm.common import text_of
 from cohortspark.shared import shared_path
 
@@ -94,7 +94,49 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-REGISTRY = {f.__name__: f for f in (op1_packing, op2_personal_data, op3_decontamination, op4_suffix_dedup, op5_exact_dedup, op6_simhash, op7_language_id, op8_hilbert_shards, op9_line_dedup, op10_warc)}
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+
+
+def with_planted_periods(key: str = "doc_id", text: str = "text") -> F.Column:
+    """The text; in a tenth of the documents, chosen by id, the words from some place on repeat with a period."""
+    hashed = F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(hashed / 10).cast("bigint")
+    words = F.filter(F.split(text_of(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n = F.size(words)
+    start = (g % F.nullif(n, F.lit(0))).cast("int")
+    period = (F.floor((n - start) / (g % 8 + 3)) + 1).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(words, start + 1, period), F.ceil((n - start) / period).cast("int")))
+    planted = F.array_join(F.slice(F.concat(F.slice(words, F.lit(1), start), again), F.lit(1), n), " ")
+    return F.when(hashed % 10 == 0, F.coalesce(planted, text_of(text))).otherwise(text_of(text))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", with_planted_periods().alias("text"))
+    best = F.get(F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("by"), r["start"].alias("start"), r["period"].alias("period")))), F.lit(0))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))), "\n")
+    found = runs.periodic_runs(docs).select("doc_id", "runs", "collapsed_text", best.alias("best"))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("best.start").alias("start"), (-F.col("best.by")).alias("length"), F.col("best.period").alias("period"),
+        F.call_function("div", F.col("best.by") * -1000, F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(F.lit("")).cast("binary"), 256).alias("runs_sha256"),
+        _sha256("collapsed_text").alias("collapsed_sha256"),
+    )
+
+
+#: Weights of documents labelled good, labelled bad, and not labelled.
+QUALITY = (2.0, 0.5, 1.0)
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, bad, unknown = map(F.lit, QUALITY)
+    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("size"), F.xxhash64(text_of("text")).alias("content"))
+    rated = docs.join(labels, "doc_id", "left").withColumn("quality", F.when(F.col("quality") > 0, good).when(F.col("quality") == 0, bad).otherwise(unknown))
+    return mixing.mix(rated, quality="quality", content="content").select("doc_id", "size", "source_size", "target", "taken")
+
+
+REGISTRY = {f.__name__: f for f in (op1_packing, op2_personal_data, op3_decontamination, op4_suffix_dedup, op5_exact_dedup, op6_simhash, op7_language_id, op8_hilbert_shards, op9_line_dedup, op10_warc, op11_ranked_search, op12_periodic_runs, op13_source_mix)}
 
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -149,4 +191,14 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM f""",
+    "op11_ranked_search": rf"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(list_filter(regexp_split_to_array({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')) AS term FROM benchmark),
+whole AS (SELECT count(*)::BIGINT AS nd, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+tf AS (SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, whole GROUP BY term, nd),
+s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nd) // l))))::BIGINT AS score
+      FROM q JOIN df USING (term) JOIN tf USING (term), whole GROUP BY item_id, doc_id),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 50""",
 }

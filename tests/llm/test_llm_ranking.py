@@ -1,0 +1,326 @@
+"""Ranked search, periodic runs and source mixing against brute force."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from checks.compare import connect, difference
+from cohortspark.llm import mixing, queries, runs, search
+
+SF_DIR = "/root/testdata/sf0.001"
+
+# --- ranked search ------------------------------------------------------------------------
+
+
+def terms_of(text):
+    folded = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", folded)
+
+
+def brute_search(docs, items, k):
+    """docs: (id, text); items: {id: set of terms}."""
+    held = [(i, terms_of(t)) for i, t in docs]
+    held = [(i, t) for i, t in held if t]
+    n_docs, n_terms = len(held), sum(len(t) for _, t in held)
+    df = {}
+    for _, t in held:
+        for term in set(t):
+            df[term] = df.get(term, 0) + 1
+    out = set()
+    for item, wanted in items.items():
+        scored = []
+        for doc, t in held:
+            m = 50 + (50 * len(t) * n_docs) // n_terms
+            score = 0
+            for term in wanted:
+                tf = t.count(term)
+                if tf:
+                    score += math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[term] + 1))) * ((10**9 * tf) // (1000 * tf + 20 * m))
+            if score > 0:
+                scored.append((-score, doc is None, doc or 0, doc))
+        out |= {(item, rank + 1, s[3], -s[0]) for rank, s in enumerate(sorted(scored, key=lambda s: s[:3])[:k])}
+    return out
+
+
+def wordy(seed, n, vocabulary=60):
+    rng = random.Random(seed)
+    names = [f"w{i}" for i in range(vocabulary)] + ["É9", "日本", "Zoë"]
+    weights = [1 / (i + 1) for i in range(len(names))]
+    return [" ".join(w.upper() if rng.random() < 0.2 else w for w in rng.choices(names, weights, k=rng.randrange(1, 60))) + "!\t" for _ in range(n)]
+
+
+@pytest.mark.parametrize("k,entries", [(5, 1 << 16), (50, 1 << 16), (7, 40)])
+def test_search_against_brute_force(spark, monkeypatch, k, entries):
+    monkeypatch.setattr(search, "_SLICE", 64)
+    texts = wordy(1, 400)
+    texts += [texts[3]] * 150 + [None, "", " .,;\x00 ", "w1-w2_w3 w1"]
+    docs = list(enumerate(texts)) + [(None, texts[0]), (7, texts[0])]
+    items = {i: t for i, t in enumerate(wordy(2, 25, 80))} | {100: None, 101: "..", 102: "unheard words"}
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("score", F.lit("clash")).repartition(5)
+    asked = spark.createDataFrame([*items.items(), (3, "w40 w41")], "item_id long, text string")
+    got = search.search(frame, asked, k=k, block_entries=entries)
+    assert got.columns == ["item_id", "rank", "doc_id", "score"]
+    wanted = {i: set(terms_of(t)) for i, t in items.items()}
+    wanted[3] |= {"w40", "w41"}
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == brute_search(docs, wanted, k)
+
+
+def test_pair_bounds_hold_and_are_tighter():
+    # Terms 1 and 2 never meet; alone they reach 10 and 9, with term 3 beside them 10 + 9 would not be enough.
+    plan = search.Plan(np.zeros(4, np.int64), 1, 1, np.array([0, 3]), np.array([1, 2, 3]), np.array([[1, 2], [2, 3]]), ["q"])
+    most = np.array([0, 10, 9, 8, 0, 15])
+    plan = search.with_bounds(plan, most, np.array([0, 4, 0, 0, 0, 12]))
+    assert plan.bounds.tolist() == [10, 10, 18] and plan.thresholds.tolist() == [12]
+
+
+def test_search_skips_what_cannot_win(spark, monkeypatch):
+    """Documents with light terms alone are never scored once the floors are known."""
+    texts = ["common words here"] * 500 + ["common rare thing " * 3] * 20
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = search.search(frame, spark.createDataFrame([(1, "common rare")], "item_id long, text string"), k=10).collect()
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.rank)] == list(range(500, 510))
+
+
+def test_search_query_matches_sql(spark):
+    con = connect(SF_DIR)
+    assert difference(spark, con, SF_DIR, queries.op11_ranked_search, queries.ORACLE_SQL["op11_ranked_search"]) is None
+
+
+def test_search_empty(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    assert search.search(docs, items).collect() == []
+    assert search.search(docs.union(items.select("item_id", "text")), items.limit(0)).collect() == []
+
+
+def test_terms_of_long_texts_in_pieces(spark, monkeypatch):
+    texts = wordy(5, 30)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked = spark.createDataFrame([(1, "w1 w2 w3 w9")], "item_id long, text string")
+    whole = search.search(frame, asked).collect()
+    monkeypatch.setattr(search, "_PIECE", 16)
+    assert search.search(frame, asked).collect() == whole
+
+
+# --- periodic runs ------------------------------------------------------------------------
+
+
+def brute_runs(words, least=12):
+    n, found = len(words), {}
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            s = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            if i + q - s >= max(least, 2 * q):
+                found.setdefault((s, i + q), q)
+    return sorted(((s, e - s, q) for (s, e), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def brute_collapsed(words, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def repetitive(seed, n):
+    rng, out = random.Random(seed), []
+    for _ in range(n):
+        letters = "ab" if rng.random() < 0.4 else "abcdefgh"
+        words = [rng.choice(letters) for _ in range(rng.randrange(60))]
+        for _ in range(rng.randrange(4)):
+            a = rng.randrange(len(words) + 1)
+            words[a:a] = words[a : a + rng.randrange(1, 9)] * rng.randrange(1, 9)
+        out.append(words)
+    fib = ["a", "ab"]
+    while len(fib[-1]) < 300:
+        fib.append(fib[-1] + fib[-2])
+    return out + [list(fib[-1]), ["x"] * 400, (["x"] * 13 + ["y"]) * 9, ["p", "q", "r", "s"] * 60 + ["p"], list("abcdefghijkl")]
+
+
+@pytest.mark.parametrize("least", [2, 5, 12])
+def test_runs_against_brute_force(least):
+    texts = repetitive(least, 150)
+    for own in texts:
+        ids = np.array([ord(w) for w in own], np.int64)
+        assert [tuple(r) for r in runs.find_runs(ids, least).tolist()] == (brute_runs(own, least) if len(own) >= 2 else []), own
+    got = list(runs._collapse([[w.encode() for w in t] for t in texts], least))
+    for own, (found, left) in zip(texts, got):
+        expected = brute_runs(own, least)
+        assert [(r["start"], r["length"], r["period"]) for r in found] == expected
+        assert left.decode() == brute_collapsed(own, expected)
+
+
+def test_nearest_smaller_both_ways(monkeypatch):
+    rng = np.random.default_rng(1)
+    cases = [np.concatenate([[-1], rng.integers(1, 5, 200)]), np.array([-1, *range(1, 100), 1, 1, -1, 2]), np.array([-1, *range(100, 0, -1)])]
+    for strict in (True, False):
+        for values in cases:
+            quick = runs._nearest(values, strict)
+            monkeypatch.setattr(runs, "_JUMPS", 1)
+            slow = runs._nearest(values, strict)
+            monkeypatch.undo()
+            for i in np.flatnonzero(values > 0):
+                brute = max(j for j in range(i) if (values[j] < values[i] if strict else values[j] <= values[i]))
+                assert quick[i] == slow[i] == brute
+
+
+def test_long_periodic_texts_are_quick():
+    words = np.array(([1] * 30_000) + [2] + list(range(3, 40)) * 500)
+    found = runs.find_runs(words)
+    assert found.tolist() == [[0, 30_000, 1], [30_001, 18_500, 37]]
+
+
+def planted(doc_id, words):
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(words)
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+def test_runs_query_against_brute_force(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    rows = {r.doc_id: r for r in queries.op12_periodic_runs(spark, SF_DIR).collect()}
+    assert rows.keys() == docs.keys()
+    checked = 0
+    for i, text in docs.items():
+        words = planted(i, re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+        if len(words) > 700:
+            continue
+        found, r = brute_runs(words), rows[i]
+        best = min(found, key=lambda f: (-f[1], f[0], f[2])) if found else (None, None, None)
+        assert (r.n_runs, r.start, r.length, r.period) == (len(found), *best)
+        assert r.exponent_milli == (1000 * best[1] // best[2] if found else None)
+        assert r.runs_sha256 == hashlib.sha256("".join(f"{s},{n},{q}\n" for s, n, q in found).encode()).hexdigest()
+        assert r.collapsed_sha256 == hashlib.sha256(brute_collapsed(words, found).encode()).hexdigest()
+        checked += bool(found)
+    assert checked > 10
+
+
+def test_runs_edges(spark):
+    texts = [None, "", " \n", "one", "a " * 12, "a " * 11, "x y " * 12, "same " * 20, "same " * 20]
+    docs = spark.createDataFrame([(1, t, "clash") for t in texts], "doc_id int, text string, runs string")
+    out = runs.periodic_runs(docs).collect()
+    assert [len(r.runs) for r in out] == [0, 0, 0, 0, 1, 0, 1, 1, 1]
+    assert [r.n_words for r in out] == [0, 0, 0, 1, 12, 11, 12, 20, 20]
+    assert [r.collapsed_text for r in out][4:7] == ["a", " ".join("a" * 11), "x y"]
+    assert runs.periodic_runs(docs.limit(0)).collect() == []
+
+
+# --- mixing -------------------------------------------------------------------------------
+
+
+def brute_targets(sizes, share=1.5, most=2.0):
+    """sizes: {source: size}; sources by code point, null last."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: mixing.TURNS[i % 3] for i, s in enumerate(order)}
+    budget, held = share * sum(sizes.values()), {}
+    free = {s for s in order if sizes[s]}
+    while free:
+        rate = (budget - sum(held.values())) / sum(weight[s] for s in free)
+        above = {s for s in free if rate * weight[s] >= most * sizes[s]}
+        if not above:
+            return held | {s: rate * weight[s] for s in free}
+        held |= {s: most * sizes[s] for s in above}
+        free -= above
+    return held
+
+
+def mixed(spark, rows, **options):
+    frame = spark.createDataFrame(rows, "doc_id long, source string, size long, quality double, content long, taken string")
+    return mixing.mix(frame, quality="quality", content="content", **options)
+
+
+def sample_rows(seed=3, n=3_000):
+    rng = random.Random(seed)
+    names = ["hot", "", None, "é", "z", "A", "日本", "tiny"]
+    return [(i, "hot" if i % 3 == 0 else rng.choice(names), rng.randrange(200), rng.choice([None, 0.5, 1.0, 8.0]), i * 7, "clash") for i in range(n)] + [(-1, "lone", 10, 1.0, 1, "")]
+
+
+@pytest.mark.parametrize("bin_rows", [100_000, 50])
+def test_mix_meets_targets(spark, bin_rows):
+    rows = sample_rows()
+    got = mixed(spark, rows, bin_rows=bin_rows).collect()
+    assert len(got) == len(rows)
+    sizes = {}
+    for r in rows:
+        sizes[r[1]] = sizes.get(r[1], 0) + r[2]
+    targets = brute_targets(sizes)
+    taken = {}
+    for r in got:
+        assert r.source_size == sizes[r.source] and math.isclose(r.target, targets[r.source], rel_tol=1e-9)
+        epochs = math.floor(r.target / r.source_size + 1e-12)
+        assert epochs * r.size <= r.taken <= min(2, epochs + 1) * r.size
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    for s, n in taken.items():
+        assert abs(n - targets[s]) <= 1
+    assert math.isclose(sum(targets.values()), 1.5 * sum(sizes.values()))
+
+
+def test_mix_draws_as_keys_say(spark):
+    """The same documents as sorting all keys of a source, whatever the bins; good documents more often."""
+    rows = sample_rows(4)
+    found = [{r.doc_id: r.taken for r in mixed(spark, rows, bin_rows=b).repartition(3).collect()} for b in (100_000, 20)]
+    assert found[0] == found[1]
+    facts = {r[0]: r for r in rows}
+    hot = [i for i in facts if facts[i][1] == "hot" and facts[i][2]]
+    frac = {q: np.mean([found[0][i] % facts[i][2] == 0 and found[0][i] // facts[i][2] for i in hot if facts[i][3] == q]) for q in (0.5, 8.0)}
+    assert frac[8.0] > frac[0.5]
+    key = spark.createDataFrame(rows, "doc_id long, source string, size long, quality double, content long, taken string").select(
+        F.struct("*").alias("row")).select("row.doc_id", mixing._uniform(42, "doc_id", "content").alias("u"))
+    draw = {r.doc_id: -math.log(r.u) / (1.0 if facts[r.doc_id][3] is None else facts[r.doc_id][3]) for r in key.collect()}
+    for source in ("hot", "z", None):
+        own = sorted((i for i in facts if facts[i][1] == source), key=draw.get)
+        target = brute_targets({s: sum(f[2] for f in facts.values() if f[1] == s) for s in {f[1] for f in facts.values()}})[source]
+        whole = sum(facts[i][2] for i in own)
+        epochs = int(target // whole + 1e-12)
+        left = math.floor(target - epochs * whole + 1e-6)
+        for i in own:
+            more = min(left, facts[i][2])
+            left -= more
+            assert found[0][i] == epochs * facts[i][2] + more
+
+
+def test_mix_edges(spark):
+    rows = [(1, "a", None, None, None, ""), (None, "a", 5, -1.0, 1, ""), (None, "a", 5, -1.0, 1, ""), (2, None, 0, 0.0, 2, "")]
+    got = sorted((r.source or "", r.doc_id or 0, r.taken, r.target) for r in mixed(spark, rows).collect())
+    assert [g[:2] for g in got] == [("", 2), ("a", 0), ("a", 0), ("a", 1)]
+    assert sum(g[2] for g in got) == 15 and got[0][3] == 0
+    assert mixed(spark, rows).limit(0).count() == 0 and mixing.mix(spark.createDataFrame([], "doc_id long, source string, size long")).collect() == []
+
+
+def test_mix_with_given_weights(spark):
+    docs = spark.createDataFrame([(i, "ab"[i % 2], 10) for i in range(100)], "doc_id long, source string, size long")
+    weights = spark.createDataFrame([("a", 3.0), ("b", 1.0)], "source string, weight double")
+    got = {r.source: r.t for r in mixing.mix(docs, weights=weights, share=0.5, max_epochs=1).groupBy("source").agg(F.sum("taken").alias("t")).collect()}
+    assert got == {"a": 375, "b": 125}
+
+
+def test_mix_query(spark):
+    con = connect(SF_DIR)
+    sizes = con.execute(r"SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) FROM documents").fetchall()
+    own, total = {d: n for d, _, n in sizes}, {}
+    for _, s, n in sizes:
+        total[s] = total.get(s, 0) + n
+    targets, source = brute_targets(total), {d: s for d, s, _ in sizes}
+    got = queries.op13_source_mix(spark, SF_DIR).collect()
+    assert {r.doc_id: r.size for r in got} == own
+    assert sorted(map(tuple, got)) == sorted(map(tuple, queries.op13_source_mix(spark, SF_DIR).collect()))
+    taken = {}
+    for r in got:
+        assert r.source_size == total[source[r.doc_id]] and math.isclose(r.target, targets[source[r.doc_id]], rel_tol=1e-9) and 0 <= r.taken <= 2 * r.size
+        taken[source[r.doc_id]] = taken.get(source[r.doc_id], 0) + r.taken
+    assert all(abs(taken[s] - targets[s]) <= 1 for s in taken)
