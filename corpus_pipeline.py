@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import decontam, exact, jaccard, langid, packing
+from cohortspark.llm import decontam, exact, langid, packing, simhash
 from cohortspark.llm.queries import held_out
 from cohortspark.shared import cut_lineage
 
@@ -42,8 +42,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of every component of similar texts: 0.8 or more on five-word shingles."""
-    return _widen(jaccard.near_dedup(_narrow(docs)), docs.columns)
+    """Keeps one document of every component of texts whose SimHash fingerprints differ in three bits or fewer."""
+    return _widen(simhash.near_dedup(_narrow(docs)), docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
