@@ -25,7 +25,7 @@ from cohortspark.shared import cut_lineage
 
 ADDED = ["source_size", "target", "taken"]
 #: Rows of a source that are sorted together, about.
-BIN_ROWS = 100_000
+BIN_ROWS = 8_000
 # Fixed by the contract: a word, and the weights that sources get in turn.
 WORD = r"[^\x20\x09-\x0D]+"
 TURNS = (5.0, 2.0, 1.0)
