@@ -209,16 +209,14 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_vcf(spark: SparkSession, sf_dir: str) -> str:
-    """VCF files with header in the shared folder; returns their glob."""
-    folder = shared_path(spark, "vcf")
+def _vcf_shards(spark: SparkSession, sf_dir: str, shards: int) -> DataFrame:
+    """Lines of VCF files, header first, one partition per file."""
     names = table(spark, sf_dir, "nation").agg(
         F.concat_ws("\t", F.transform(
             F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda s: s["n_name"]
         )).alias("names")
     )
     # Every shard carries the header, as cohort VCFs do.
-    shards = spark.sparkContext.defaultParallelism
     header = F.array(
         F.lit("##fileformat=VCFv4.2"), F.concat(F.lit("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"), F.col("names"))
     )
@@ -226,7 +224,77 @@ def write_vcf(spark: SparkSession, sf_dir: str) -> str:
         "shard", F.posexplode(header).alias("line", "value")
     )
     body = vcf_lines(spark, sf_dir).select(F.pmod(F.xxhash64("value"), F.lit(shards)).alias("shard"), F.lit(9).alias("line"), "value")
-    heads.union(body).repartition(shards, "shard").sortWithinPartitions("line").select("value").write.option("compression", "gzip").text(f"{folder}/calls.vcf")
+    return heads.union(body).repartition(shards, "shard").sortWithinPartitions("line").select("value")
+
+
+def write_vcf(spark: SparkSession, sf_dir: str) -> str:
+    """VCF files with header in the shared folder; returns their glob."""
+    folder = shared_path(spark, "vcf")
+    _vcf_shards(spark, sf_dir, spark.sparkContext.defaultParallelism).write.option("compression", "gzip").text(f"{folder}/calls.vcf")
+    return f"{folder}/*.vcf"
+
+
+def write_block_gzip(lines: DataFrame, folder: str, block: int = 4_000) -> str:
+    """Block-gzip files of the lines, one per partition with rows, in small blocks; returns their glob.
+
+    Each task writes a file named by its partition, so that a task that runs again writes the same file.
+    """
+    spark = lines.sparkSession
+    spark.range(0).write.parquet(f"{folder}/made")
+
+    def run(batches):
+        import struct
+        import zlib
+
+        import pyarrow as pa
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        def member(part):
+            squeezed = zlib.compressobj(6, zlib.DEFLATED, -15)
+            body = squeezed.compress(part) + squeezed.flush()
+            size = struct.pack("<H", len(body) + 25)
+            return b"\x1f\x8b\x08\x04" + bytes(4) + b"\x00\xff\x06\x00BC\x02\x00" + size + body + struct.pack("<II", zlib.crc32(part), len(part))
+
+        where = folder if "://" in folder or folder.startswith("/") else "file://" + folder.removeprefix("file:")
+        system, path = fs.FileSystem.from_uri(where)
+        held, out = b"", None
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                out = out or system.open_output_stream(f"{path}/part-{TaskContext.get().partitionId()}.vcf.bgz")
+                held += value.encode() + b"\n"
+                while len(held) >= block:
+                    out.write(member(held[:block]))
+                    held = held[block:]
+        if out:
+            out.write(member(held) + member(b""))
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32())], ["n"])
+
+    lines.mapInArrow(run, "n int").write.format("noop").mode("overwrite").save()
+    return f"{folder}/*.vcf.bgz"
+
+
+def write_vcf_bgz(spark: SparkSession, sf_dir: str) -> str:
+    """The same calls in one block-gzip file."""
+    return write_block_gzip(_vcf_shards(spark, sf_dir, 1), shared_path(spark, "vcf"))
+
+
+WIDE_GENOTYPES = {0: "0/0", 1: "0/1", 2: "1/1", 3: "./.", 4: "0|0", 5: "1|0", 6: "0/0"}  # (supplier + 3 * customer) % 7
+
+
+def write_wide_vcf(spark: SparkSession, sf_dir: str) -> str:
+    """Sites from suppliers, one sample column per customer; returns the glob."""
+    folder = shared_path(spark, "wide")
+    customers = table(spark, sf_dir, "customer").agg(F.array_sort(F.collect_list("c_custkey")).alias("k"))
+    head = "concat('#CHROM\\tPOS\\tID\\tREF\\tALT\\tQUAL\\tFILTER\\tINFO\\tFORMAT\\t', concat_ws('\\t', transform(k, c -> CAST(c AS STRING)))) AS value"
+    gt = _case("(s_suppkey + 3 * c) % 7", WIDE_GENOTYPES)
+    body = table(spark, sf_dir, "supplier").withColumn("k", customers.scalar()).selectExpr(
+        "concat_ws('\\t', concat('chr', CAST(1 + s_nationkey % 22 AS STRING)), CAST(10 + s_suppkey AS STRING), '.', 'A', "
+        "CASE WHEN s_suppkey % 2 = 0 THEN 'G' ELSE 'C' END, '9', 'PASS', '.', 'GT:FT', "
+        f"concat_ws('\\t', transform(k, c -> concat({gt}, CASE WHEN (s_suppkey + c) % 5 = 0 THEN ':LowGQ' ELSE ':PASS' END)))) AS value"
+    )
+    customers.selectExpr(head).union(body).coalesce(1).write.text(f"{folder}/wide.vcf")
     return f"{folder}/*.vcf"
 
 

@@ -337,6 +337,17 @@ _QUERIES: dict[str, str] = {
       metric_type, n_x, n_y, {_round('mean_x', 'cohens_d')} FROM tested""",
     "q_results_distributions": f"SELECT ancestry, grp, set_name, metric_type, {_QUARTILES} FROM key_stats WHERE value IS NOT NULL GROUP BY ALL",
 }
+_QUERIES["q_vcf_bgz"] = _QUERIES["q_vcf_sites"]
+_WIDE_GT = "CASE (s_suppkey + 3 * c_custkey) % 7 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in fx.WIDE_GENOTYPES.items()) + " END"
+_QUERIES["q_vcf_customers"] = f"""WITH w AS (SELECT c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_mktsegment = 'BUILDING'),
+ place AS (SELECT DISTINCT s_suppkey, p_type AS set_name FROM supplier JOIN part ON 1 + p_size % 22 = 1 + s_nationkey % 22
+   AND 10 + s_suppkey > p_partkey AND 10 + s_suppkey <= p_partkey + p_size),
+ g AS (SELECT c_custkey, set_name, s_suppkey % 2 = 0 AS ti, {_WIDE_GT} AS gt FROM place JOIN supplier USING (s_suppkey), w WHERE (s_suppkey + c_custkey) % 5 <> 0),
+ n AS (SELECT c_custkey, set_name, count(*) FILTER (WHERE ti AND gt IN ('0/1', '1|0')) AS a, count(*) FILTER (WHERE NOT ti AND gt IN ('0/1', '1|0')) AS b,
+   count(*) FILTER (WHERE ti AND gt = '1/1') AS c, count(*) FILTER (WHERE NOT ti AND gt = '1/1') AS d FROM g GROUP BY ALL)
+ SELECT CAST(w.c_custkey AS VARCHAR) AS sample_id, s.set_name, coalesce(a, 0) AS snp_ti_het, coalesce(b, 0) AS snp_tv_het, coalesce(c, 0) AS snp_ti_hom,
+   coalesce(d, 0) AS snp_tv_hom, 0::BIGINT AS indel_ins_het, 0::BIGINT AS indel_del_het, 0::BIGINT AS indel_ins_hom, 0::BIGINT AS indel_del_hom
+ FROM w CROSS JOIN (SELECT unnest({fx.SETS!r}) AS set_name) s LEFT JOIN n ON n.c_custkey = w.c_custkey AND n.set_name = s.set_name"""
 _QUERIES["q_results_summaries"] = _QUERIES["q_group_summaries"]
 _QUERIES["q_report_distributions"] = _QUERIES["q_results_distributions"]
 _QUERIES["q_bed_roundtrip"] = "SELECT contig, start0, end0 FROM strat_kept"

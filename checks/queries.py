@@ -511,6 +511,25 @@ def q_vcf_metrics(spark, sf_dir):
     return rounded(rows)
 
 
+@query
+def q_vcf_bgz(spark, sf_dir):
+    """The sites again from one block-gzip file, read by ranges of 16 KB."""
+    sites = callset_source.import_vcf(spark, fx.write_vcf_bgz(spark, sf_dir), range_bytes=1 << 14).sites
+    return rounded(sites.select(
+        "contig", F.col("pos").cast("bigint").alias("pos"), "ref", "alt", F.array_join("filters", ";").alias("filters"),
+        F.array_max("af").alias("max_af"), F.array_max("ac").cast("bigint").alias("max_ac"),
+    ))
+
+
+@query
+def q_vcf_customers(spark, sf_dir):
+    """A VCF with a column per customer, of whom one segment is wanted: cells of the others are dropped before they are read."""
+    wanted = fx.samples(spark, sf_dir).filter("grp = 'BUILDING'").selectExpr("CAST(sample_id AS STRING) AS sample_id", "ancestry", "grp")
+    calls = callset_source.import_vcf(spark, fx.write_wide_vcf(spark, sf_dir), keep_samples=wanted)
+    rows = count_callset(calls, fx.site_sets(spark, sf_dir), fx.SETS, wanted, block_bp=fx.BLOCK_BP)
+    return rows.select("sample_id", "set_name", *metrics.COUNTERS)
+
+
 def written_results(spark: SparkSession, sf_dir: str, group_order: list[str] | None = None) -> str:
     rows = cut_lineage(sample_metrics(spark, sf_dir))
     folder = shared_path(spark, "results")

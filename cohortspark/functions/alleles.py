@@ -10,10 +10,11 @@ ALLELE_LETTERS = "ACGTNM"
 
 
 def shared_head(a: Column, b: Column) -> Column:
-    """Length of the longest common prefix that leaves one letter on each side."""
-    short = (F.length(a) <= 1) | (F.length(b) <= 1)
-    head = F.regexp_extract(F.concat(a, F.lit("|"), b), r"^(.*).+\|\1.+$", 1)
-    return F.when(short, F.lit(0)).otherwise(F.length(head))
+    """Length of the longest common prefix that leaves one letter on each side; linear in the alleles."""
+    most = F.least(F.length(a), F.length(b)) - 1
+    letters = [F.split(F.substr(x, F.lit(1), most), "") for x in (a, b)]
+    differ = F.array_position(F.zip_with(*letters, lambda x, y: x != y), F.lit(True)).cast("int")
+    return F.when(most <= 0, 0).when(differ == 0, most).otherwise(differ - 1)
 
 
 def _plain(allele: Column) -> Column:

@@ -1,7 +1,7 @@
 """Site rows and long calls: splitting, filtering, classifying, exploding.
 
 Site row: ``contig, pos, ref, alts ARRAY<STRING>, filters ARRAY<STRING>, af ARRAY<DOUBLE>,
-ac ARRAY<INT>, calls ARRAY<STRUCT<sample_id, a1, a2, ft>>``. After ``split_alleles`` or
+ac ARRAY<INT>, calls ARRAY<STRUCT<sample_no, sample_id, a1, a2, ft>>``; sample_no may be missing. After ``split_alleles`` or
 ``first_allele``, ``alts`` has become ``alt``.
 Long call: ``sample_id, contig, pos, ref, alt, a1, a2, ft``.
 """
@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import alleles
+from .samples import is_wanted
+
 
 def split_alleles(sites: DataFrame) -> DataFrame:
     """One row per alternate allele, in minimal form; AF and AC stay those of the whole site.
@@ -26,12 +28,7 @@ def split_alleles(sites: DataFrame) -> DataFrame:
     number = F.col("_i") + 1
 
     def recode(call: Column) -> Column:
-        return F.struct(
-            call["sample_id"].alias("sample_id"),
-            (call["a1"] == number).cast("int").alias("a1"),
-            (call["a2"] == number).cast("int").alias("a2"),
-            call["ft"].alias("ft"),
-        )
+        return call.withField("a1", (call["a1"] == number).cast("int")).withField("a2", (call["a2"] == number).cast("int"))
 
     return trim_alleles(each.withColumnRenamed("_alt", "alt")).select(
         "contig", "pos", "ref", "alt", *rest, F.transform("calls", recode).alias("calls")
@@ -82,18 +79,28 @@ def _carrier(a1: Column, a2: Column) -> Column:
     return (F.coalesce(a1, F.lit(0)) > 0) | (F.coalesce(a2, F.lit(0)) > 0)
 
 
-def explode_carriers(sites: DataFrame, filter_ft: bool = True) -> DataFrame:
+def numbered(sites: DataFrame) -> bool:
+    """Whether the calls carry the sample's place in the header."""
+    return "sample_no" in sites.schema["calls"].dataType.elementType.fieldNames()
+
+
+def explode_carriers(sites: DataFrame, filter_ft: bool = True, wanted: Column | None = None) -> DataFrame:
     """Long calls of a site row, keeping only calls that some counter can count.
 
     Counters look at het and hom-alt calls alone, so homozygous-reference, missing and
-    masked calls are dropped inside the array, before any row is made of them.
+    masked calls are dropped inside the array, before any row is made of them, as are those of samples
+    that are not ``wanted`` (the scalar of ``wanted_words``; calls must be numbered).
     """
+    if wanted is not None:
+        sites = sites.withColumn("_words", wanted)
 
     def counts(call: Column) -> Column:
-        carrier = _carrier(call["a1"], call["a2"])
-        return carrier & alleles.call_passes(call["ft"]) if filter_ft else carrier
+        kept = _carrier(call["a1"], call["a2"])
+        if filter_ft:
+            kept = kept & alleles.call_passes(call["ft"])
+        return kept if wanted is None else is_wanted(F.col("_words"), call["sample_no"]) & kept
 
-    rest = [c for c in sites.columns if c != "calls"]
+    rest = [c for c in sites.columns if c not in ("calls", "_words")]
     return sites.select(*rest, F.explode(F.filter("calls", counts)).alias("_call")).select(
         *rest, "_call.sample_id", "_call.a1", "_call.a2", "_call.ft"
     )

@@ -31,3 +31,9 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     """Sorted file names directly below a folder."""
     fs, hadoop_path = _resolve(spark, folder)
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Length of a file in bytes."""
+    fs, hadoop_path = _resolve(spark, path)
+    return fs.getFileStatus(hadoop_path).getLen()

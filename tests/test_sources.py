@@ -1,10 +1,14 @@
 import gzip
+import random
+import struct
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from cohortspark.operators import calls as call_ops
-from cohortspark.sources import callset, files, intervals, labels, results
+from cohortspark.operators.samples import wanted_words
+from cohortspark.sources import blocks, callset, files, intervals, labels, results
 from cohortspark.sources.vcf import Callset, read_vcf
 
 HEADER = ["##fileformat=VCFv4.2", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\ts2\ts3"]
@@ -123,11 +127,80 @@ def test_vcf_headers_must_agree(spark, tmp_path):
             read_vcf(spark, shards(name, *heads))
 
 
-def test_block_gzip_is_refused_in_any_path(spark, tmp_path):
-    (tmp_path / "a.vcf.bgz").write_text("x\n")
-    for path in (str(tmp_path), f"{tmp_path}/*", f"{tmp_path}/a.vcf.bgz"):
-        with pytest.raises(ValueError, match="bgz"):
-            read_vcf(spark, path)
+def block_gzip(data, block=300):
+    """Block-gzip bytes of a text, small blocks, with the empty block at the end."""
+    out = b""
+    for part in [data[i : i + block] for i in range(0, len(data), block)] + [b""]:
+        squeezed = zlib.compressobj(6, zlib.DEFLATED, -15)
+        body = squeezed.compress(part) + squeezed.flush()
+        out += b"\x1f\x8b\x08\x04" + bytes(4) + b"\x00\xff\x06\x00BC\x02\x00" + struct.pack("<H", len(body) + 25) + body + struct.pack("<II", zlib.crc32(part), len(part))
+    return out
+
+
+@pytest.mark.parametrize("step,block", [(64, 40), (97, 300), (500, 33), (1 << 20, 300)])
+def test_block_gzip_in_ranges(spark, tmp_path, step, block):
+    rng = random.Random(step)
+    bodies = {"mixed": [rng.choice(["", "x" * rng.randrange(900), f"line {i}", "é\r"]) for i in range(120)], "one": ["y" * 3000], "none": [], "ends": ["a" * 39, "b" * 79, "c"]}
+    for name, body in bodies.items():
+        text = "".join(line + "\n" for line in body)
+        for end in (text, text[:-1]):
+            path = tmp_path / f"{name}.bgz"
+            path.write_bytes(block_gzip(end.encode(), block))
+            got = [r.value for r in blocks.read_lines(spark, [str(path)], step).collect()]
+            expected = [line.removesuffix("\r") for line in end.split("\n")]
+            assert got == (expected[:-1] if not expected[-1] else expected), (name, end is text)
+
+
+def test_block_gzip_vcf(spark, tmp_path):
+    text = "".join(line + "\n" for line in HEADER + LINES).encode()
+    (tmp_path / "a.vcf").write_bytes(text)
+    plain = calls_of(callset.import_vcf(spark, str(tmp_path / "a.vcf")).sites)
+    # Any name will do; what counts is the content.
+    for name in ("b.vcf.bgz", "c.vcf.gz"):
+        (tmp_path / name).write_bytes(block_gzip(text, 70))
+        data = callset.import_vcf(spark, str(tmp_path / name), range_bytes=128)
+        assert calls_of(data.sites) == plain and data.sites.rdd.getNumPartitions() > 2
+        assert {r.sample_id: r.sample_no for r in data.samples.collect()} == {"s1": 0, "s2": 1, "s3": 2}
+    (tmp_path / "d.vcf.bgz").write_bytes(gzip.compress(text))
+    with pytest.raises(ValueError, match="block-gzip"):
+        read_vcf(spark, str(tmp_path / "d.vcf.bgz"))
+    (tmp_path / "e.vcf.bgz").write_bytes(block_gzip(text)[:-40])
+    with pytest.raises(Exception, match="no block at byte|Error"):
+        read_vcf(spark, str(tmp_path / "e.vcf.bgz")).sites.collect()
+
+
+def test_heads_stop_at_the_header(spark, tmp_path):
+    """What lies behind the header is not looked at, not even when it is broken."""
+    body = gzip.compress(("\n".join(HEADER) + "\n").encode()) + b"\x1f\x8b\x08 this is no gzip member"
+    (tmp_path / "a.vcf.gz").write_bytes(body)
+    (tmp_path / "empty.vcf.gz").write_bytes(gzip.compress(b"\n"))
+    heads = {r.path.split("/")[-1]: r for r in blocks.read_heads(spark, [str(tmp_path / n) for n in ("a.vcf.gz", "empty.vcf.gz")], "#CHROM").collect()}
+    assert heads["a.vcf.gz"].head == HEADER[1] and heads["empty.vcf.gz"].head is None and not heads["empty.vcf.gz"].filled
+
+
+def test_samples_are_chosen_before_cells_are_read(spark, text_file):
+    path = text_file("a.vcf", *HEADER, *LINES)
+    wanted = spark.createDataFrame([("s3",), ("s1",), ("s1",), ("elsewhere",)], "sample_id string")
+    data = read_vcf(spark, path, keep_samples=wanted)
+    assert {r.sample_id: r.sample_no for r in data.samples.collect()} == {"s1": 0, "s3": 2}
+    assert {c.sample_id for r in data.sites.collect() for c in r.calls} == {"s1", "s3"}
+    nobody = read_vcf(spark, path, keep_samples=wanted.limit(0))
+    assert nobody.samples.count() == 0 and {len(r.calls) for r in nobody.sites.collect()} == {0}
+
+
+def test_sample_filter_runs_inside_the_array(spark):
+    """200 samples, some beyond the first word; no row is made of an unwanted call, so nothing filters or joins above the explode."""
+    names = [f"s{i}" for i in range(200)]
+    samples = spark.createDataFrame(list(enumerate(names)), "sample_no int, sample_id string")
+    wanted = spark.createDataFrame([(n,) for n in names[::7]], "sample_id string")
+    calls = "transform(sequence(0, 199), i -> named_struct('sample_no', i, 'sample_id', concat('s', i), 'a1', 0, 'a2', i % 3, 'ft', cast(null as string)))"
+    sites = spark.range(3).selectExpr("'c' AS contig", "int(id) AS pos", f"{calls} AS calls")
+    exploded = call_ops.explode_carriers(sites, wanted=wanted_words(samples, wanted))
+    got = exploded.groupBy("sample_id").count().collect()
+    assert {r.sample_id: r["count"] for r in got} == {n: 3 for i, n in enumerate(names) if i % 7 == 0 and i % 3}
+    plan = exploded._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Generate explode")]
+    assert "Join" not in above and "Filter" not in above
 
 
 def test_cached_scan_prunes(spark, text_file, tmp_path):
