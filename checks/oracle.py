@@ -348,6 +348,48 @@ _QUERIES["q_vcf_customers"] = f"""WITH w AS (SELECT c_custkey FROM customer JOIN
  SELECT CAST(w.c_custkey AS VARCHAR) AS sample_id, s.set_name, coalesce(a, 0) AS snp_ti_het, coalesce(b, 0) AS snp_tv_het, coalesce(c, 0) AS snp_ti_hom,
    coalesce(d, 0) AS snp_tv_hom, 0::BIGINT AS indel_ins_het, 0::BIGINT AS indel_del_het, 0::BIGINT AS indel_ins_hom, 0::BIGINT AS indel_del_hom
  FROM w CROSS JOIN (SELECT unnest({fx.SETS!r}) AS set_name) s LEFT JOIN n ON n.c_custkey = w.c_custkey AND n.set_name = s.set_name"""
+_QUERIES["q_membership_sweep"] = _QUERIES["q_membership"] + """ UNION SELECT DISTINCT contig, pos, 'WHOLE' FROM fx_calls WHERE contig = 'chr7'"""
+_QUERIES["q_interval_files_skipped"] = """SELECT 'good' AS set_name, 'chr1' AS contig, CAST(p_partkey + 1 AS BIGINT) AS a, CAST(p_partkey + p_size AS BIGINT) AS b
+  FROM part WHERE p_size > 0"""
+
+
+def _pca_sql(rows: str, stratum: str, keys: list[str], features: list[str], squarings: int = 14) -> str:
+    """Two components per stratum of at least ten rows: a correlation matrix squared until one component is left, taken out, and again.
+
+    A component's projector gives its strength and, by its largest diagonal cell, its axis with that loading positive.
+    """
+    whole = ", ".join(keys)
+    values = ", ".join(f"coalesce(CAST({f} AS DOUBLE), 0)" for f in features)
+    ctes = [
+        f"o AS (SELECT row_number() OVER () AS id, {stratum} AS s, {whole}, [{values}] AS x FROM ({rows}) WHERE {stratum} IS NOT NULL)",
+        f"u AS (SELECT id, s, unnest(range({len(features)})) AS i, unnest(x) AS x FROM o)",
+        "g AS (SELECT s, i, count(*) AS n, avg(x) AS mean, stddev_pop(x) AS sd FROM u GROUP BY s, i)",
+        "z AS (SELECT id, s, i, n, CASE WHEN sd > 0 THEN (x - mean) / sd ELSE 0 END AS z FROM u JOIN g USING (s, i) WHERE n >= 10)",
+        "r1 AS MATERIALIZED (SELECT a.s, a.i, b.i AS j, sum(a.z * b.z) / any_value(a.n) AS v FROM z a JOIN z b USING (id) GROUP BY a.s, a.i, b.i)",
+        "t AS (SELECT s, sum(v) AS v FROM r1 WHERE i = j GROUP BY s)",
+    ]
+    for c in (1, 2):
+        ctes.append(f"m{c}_0 AS MATERIALIZED (SELECT s, i, j, r.v / t.v AS v FROM r{c} r JOIN (SELECT s, sum(v) AS v FROM r{c} WHERE i = j GROUP BY s) t USING (s))")
+        for k in range(squarings):
+            ctes.append(f"q{c}_{k} AS MATERIALIZED (SELECT a.s, a.i, b.j, sum(a.v * b.v) AS v FROM m{c}_{k} a JOIN m{c}_{k} b ON a.s = b.s AND a.j = b.i GROUP BY a.s, a.i, b.j)")
+            ctes.append(f"m{c}_{k + 1} AS MATERIALIZED (SELECT q.s, i, j, q.v / t.v AS v FROM q{c}_{k} q JOIN (SELECT s, sum(v) AS v FROM q{c}_{k} WHERE i = j GROUP BY s) t USING (s))")
+        p = f"m{c}_{squarings}"
+        ctes.append(f"l{c} AS (SELECT r.s, sum(r.v * p.v) AS v FROM r{c} r JOIN {p} p USING (s, i, j) GROUP BY r.s)")
+        ctes.append(f"a{c} AS (SELECT s, i, p.v / sqrt(d.v) AS v FROM {p} p JOIN (SELECT s, arg_max(i, v) AS j, max(v) AS v FROM {p} WHERE i = j GROUP BY s) d USING (s, j))")
+        ctes.append(f"pc{c} AS (SELECT z.id, sum(z.z * a{c}.v) AS pc FROM z JOIN a{c} USING (s, i) GROUP BY z.id)")
+        if c == 1:
+            ctes.append(f"r2 AS MATERIALIZED (SELECT s, i, j, r.v - l.v * p.v AS v FROM r1 r JOIN {p} p USING (s, i, j) JOIN l1 l USING (s))")
+    names = ", ".join(dict.fromkeys([f"o.s AS {stratum}", *[f"o.{k}" for k in keys if k != stratum]]))
+    return f"""SELECT * FROM (WITH {', '.join(ctes)}
+      SELECT {names}, round(pc1.pc, 4) AS pc1, round(pc2.pc, 4) AS pc2, round(100 * l1.v / t.v, 4) AS percent_1, round(100 * l2.v / t.v, 4) AS percent_2
+      FROM o JOIN pc1 USING (id) JOIN pc2 USING (id) JOIN l1 ON l1.s = o.s JOIN l2 ON l2.s = o.s JOIN t ON t.s = o.s)"""
+
+
+_WIDE = [f"{name}_{m}" for name in fx.SETS for m in METRICS]
+_QUERIES["q_metric_pca"] = _pca_sql(
+    "SELECT sample_id, ancestry, grp, " + ", ".join(f"max({m}) FILTER (WHERE set_name = '{name}') AS {name}_{m}" for name in fx.SETS for m in METRICS)
+    + " FROM stats GROUP BY ALL", "ancestry", ["sample_id", "grp"], _WIDE)
+_QUERIES["q_embedding_pca"] = _pca_sql("SELECT * FROM embeddings", "label", ["vec_id"], [f"embedding[{i + 1}]" for i in range(64)])
 _QUERIES["q_results_summaries"] = _QUERIES["q_group_summaries"]
 _QUERIES["q_report_distributions"] = _QUERIES["q_results_distributions"]
 _QUERIES["q_bed_roundtrip"] = "SELECT contig, start0, end0 FROM strat_kept"

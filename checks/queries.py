@@ -101,11 +101,29 @@ def q_membership_shuffled(spark, sf_dir):
     """The same join on its other way: index too large to broadcast, hot blocks cut into parts."""
     points = fx.calls(spark, sf_dir).select("sample_id", "contig", "pos")
     placed = membership.attach_sets(
-        points, fx.site_sets(spark, sf_dir), block_bp=fx.BLOCK_BP, broadcast_entries=0, min_hot_rows=100
+        points, fx.site_sets(spark, sf_dir), block_bp=fx.BLOCK_BP, broadcast_entries=0, min_hot_rows=100, large="blocks"
     )
     return placed.groupBy("contig", "pos", "set_name").agg(F.count(F.lit(1)).alias("n_calls"))
 
 
+@query
+def q_membership_sweep(spark, sf_dir):
+    """The sweep: every interval is two steps, one of them over a whole contig; cells of 128 bp carry what is open."""
+    sets = fx.site_sets(spark, sf_dir).union(spark.sql("SELECT 'WHOLE', 'chr7', 1, 100000000"))
+    return membership.sweep_membership(fx.calls(spark, sf_dir), sets, cell_bp=128)
+
+
+@query
+def q_interval_files_skipped(spark, sf_dir):
+    """One good set, one with a broken line and one that is not there: each file is read once."""
+    folder = shared_path(spark, "intervals")
+    part = fx.table(spark, sf_dir, "part")
+    part.selectExpr("concat_ws('\\t', 'chr1', p_partkey, p_partkey + p_size) AS value").write.text(f"{folder}/good.bed")
+    part.selectExpr("concat_ws('\\t', 'chr1', p_partkey, CASE WHEN p_partkey % 100 = 7 THEN 'x' ELSE CAST(p_partkey + 1 AS STRING) END) AS value").write.text(f"{folder}/bad.bed")
+    paths = {"good": f"{folder}/good.bed", "bad": f"{folder}/bad.bed", "gone": f"{folder}/gone.bed"}
+    return interval_source.read_site_sets(spark, paths, "skip").selectExpr("set_name", "contig", "CAST(start AS BIGINT) AS a", "CAST(end AS BIGINT) AS b")
+
+
 # --- counts and metrics -------------------------------------------------------------------
 
 
@@ -310,7 +328,7 @@ def q_metric_parse(spark, sf_dir):
 def q_metric_pca(spark, sf_dir):
     wide = cut_lineage(counting.widen(sample_metrics(spark, sf_dir), fx.SETS))
     features = [c for c in wide.columns if c not in ("sample_id", "ancestry", "grp")]
-    return pca.metric_pca(wide, features, "ancestry", ["sample_id", "grp"])
+    return rounded(pca.metric_pca(wide, features, "ancestry", ["sample_id", "grp"]), 4)
 
 
 @query
@@ -318,7 +336,7 @@ def q_embedding_pca(spark, sf_dir):
     vectors = fx.table(spark, sf_dir, "embeddings")
     names = [f"e{i}" for i in range(64)]
     wide = vectors.select("vec_id", "label", *[F.get("embedding", F.lit(i)).alias(n) for i, n in enumerate(names)])
-    return pca.metric_pca(cut_lineage(wide), names, "label", ["vec_id"])
+    return rounded(pca.metric_pca(cut_lineage(wide), names, "label", ["vec_id"]), 4)
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import ranking
@@ -65,11 +65,10 @@ def subsample(
             f"samples_per_group={samples_per_group} is below min_samples_per_group={min_samples_per_group}: "
             "every group would be dropped"
         )
-    drawn = ranking.fit_budget(
-        labels, ["ancestry", "grp"], seed, ["sample_id"], None, F.lit(samples_per_group).cast("bigint")
-    )
-    big_enough = drawn.filter(F.col("_whole") >= min_samples_per_group)
-    return ranking.repeat_rows(big_enough, "_fits").select(*labels.columns)
+    # The minimum is no more than the cap, so what is left after the cap tells whether a stratum has enough.
+    drawn = ranking.first_n(labels, ["ancestry", "grp"], seed, ["sample_id"], samples_per_group)
+    size = F.count(F.lit(1)).over(Window.partitionBy("ancestry", "grp"))
+    return drawn.withColumn("_size", size).filter(F.col("_size") >= min_samples_per_group).select(*labels.columns)
 
 
 def require_rows(labels: DataFrame) -> DataFrame:

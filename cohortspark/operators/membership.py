@@ -19,6 +19,8 @@ BLOCK_BP = 2048
 BROADCAST_ENTRIES = 4_000_000
 # Beyond that, a block with more than one slice of all points is cut up.
 HOT_SLICES = 65_536
+# Base pairs of a sweep's cell: a genome has a few thousand.
+CELL_BP = 1 << 20
 
 
 def union_sets(sets: list[DataFrame]) -> DataFrame:
@@ -85,19 +87,96 @@ def _hot_blocks(keyed: DataFrame, min_hot_rows: int) -> DataFrame:
     )
 
 
+def sweep_membership(points: DataFrame, intervals: DataFrame, cell_bp: int = CELL_BP) -> DataFrame:
+    """Distinct ``(contig, pos, set_name)`` by a sweep over positions, for indexes of any size.
+
+    An interval is two steps, one up at its start and one down behind its end, however long it is; equal steps of a set are added up before they move. Steps
+    and sites are dealt by cell and sorted by position; a running count of open intervals per set says which sets a site lies in. What is
+    open where a cell begins is carried there as one row per set, worked out from the sums of the cells before. A
+    task holds one Arrow batch and a count per set.
+    """
+    spark_type = points.schema["contig"].dataType.simpleString()
+    pos_type = points.schema["pos"].dataType.simpleString()
+    cell = F.call_function("div", F.col("pos"), F.lit(cell_bp))
+    places = points.select("contig", F.col("pos").cast("bigint").alias("pos")).filter("contig IS NOT NULL AND pos IS NOT NULL").distinct()
+    up = F.struct(F.col("start").cast("bigint").alias("pos"), F.lit(1).cast("bigint").alias("delta"))
+    down = F.struct((F.col("end").cast("bigint") + 1).alias("pos"), F.lit(-1).cast("bigint").alias("delta"))
+    ends = intervals.filter(F.col("start") <= F.col("end")).select("contig", "set_name", F.inline(F.array(up, down)))
+    steps = ends.filter("contig IS NOT NULL AND set_name IS NOT NULL").groupBy("contig", "set_name", "pos").agg(F.sum("delta").alias("delta")).filter("delta <> 0").withColumn("cell", cell)
+    # One row per set and cell with a step or a site: what a cell begins with is the sum of the cells before it.
+    sums = steps.groupBy("contig", "set_name", "cell").agg(F.sum("delta").alias("delta"))
+    visited = places.select("contig", cell.alias("cell")).distinct()
+    still = visited.join(sums.select("contig", "set_name").distinct(), "contig").select("contig", "set_name", "cell", F.lit(0).cast("bigint").alias("delta"))
+    order = Window.partitionBy("contig", "set_name").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    every = sums.unionByName(still).groupBy("contig", "set_name", "cell").agg(F.sum("delta").alias("delta"))
+    carried = every.withColumn("delta", F.sum("delta").over(order)).filter("delta > 0")
+    none = F.lit(None).cast("string")
+    columns = ["contig", "cell", "pos", "kind", "set_name", "delta"]
+    rows = (
+        carried.withColumns({"pos": F.col("cell") * cell_bp - 1, "kind": F.lit(0)}).select(*columns)
+        .union(steps.withColumn("kind", F.lit(1)).select(*columns))
+        .union(places.withColumns({"cell": cell, "kind": F.lit(2), "set_name": none, "delta": F.lit(0).cast("bigint")}).select(*columns))
+    )
+
+    # Nested, so that it travels with the job.
+    def sweep(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        state, here = {}, None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            contig, place = batch.column(0).dictionary_encode(), batch.column(1).to_numpy(zero_copy_only=False)
+            code = contig.indices.to_numpy(zero_copy_only=False)
+            fresh = np.concatenate([[(batch.column(0)[0].as_py(), int(place[0])) != here], (code[1:] != code[:-1]) | (place[1:] != place[:-1])])
+            begun = np.maximum.accumulate(np.where(fresh, np.arange(n), -1))
+            sites = np.flatnonzero(batch.column(3).to_numpy(zero_copy_only=False) == 2)
+            sets = batch.column(4).dictionary_encode()
+            of, names = sets.indices.fill_null(-1).to_numpy(zero_copy_only=False), sets.dictionary.to_pylist()
+            delta = batch.column(5).to_numpy(zero_copy_only=False)
+            left, rows, found = {}, [], []
+            for name in dict.fromkeys([*state, *names]):
+                total = np.cumsum(np.where(of == names.index(name), delta, 0)) if name in names else np.zeros(n, np.int64)
+                # What a cell began with does not count, unless it began in an earlier batch.
+                count = total - np.where(begun > 0, total[np.maximum(begun, 1) - 1], 0) + np.where(begun < 0, state.get(name, 0), 0)
+                inside = sites[count[sites] > 0]
+                rows.append(inside)
+                found.append(pa.array([name] * len(inside), pa.string()))
+                if count[-1]:
+                    left[name] = int(count[-1])
+            state, here = left, (batch.column(0)[n - 1].as_py(), int(place[-1]))
+            if rows:
+                own = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(2).take(own), pa.concat_arrays(found)], ["contig", "pos", "set_name"])
+
+    dealt = rows.repartition("contig", "cell").sortWithinPartitions("contig", "cell", "pos", "kind")
+    placed = dealt.mapInArrow(sweep, f"contig {spark_type}, pos bigint, set_name string")
+    return placed.select("contig", F.col("pos").cast(pos_type).alias("pos"), "set_name")
+
+
 def attach_sets(
     points: DataFrame,
     intervals: DataFrame,
     block_bp: int = BLOCK_BP,
     broadcast_entries: int = BROADCAST_ENTRIES,
     min_hot_rows: int = 100_000,
+    large: str = "sweep",
+    cell_bp: int = CELL_BP,
 ) -> DataFrame:
     """One row per (point, containing set): filters points outside all sets and names the sets.
 
     The points, which carry the calls, do not move while the index is small enough to
-    broadcast. Beyond that they are shuffled once by block; a hot block is cut into parts
-    and only its index rows are repeated, one copy per part.
+    broadcast. Beyond that their distinct places are swept and the points are shuffled once, by place. With ``large="blocks"`` they are
+    shuffled once by block instead; a hot block is cut into parts and only its index rows are repeated, one copy per part.
     """
+    if large not in ("sweep", "blocks"):
+        raise ValueError("large is 'sweep' or 'blocks'")
+    small = index_bound(intervals, block_bp) <= broadcast_entries
+    if not small and large == "sweep":
+        placed = sweep_membership(points, intervals, cell_bp).withColumnsRenamed({"contig": "_contig", "pos": "_pos"})
+        return points.join(placed, (F.col("contig") == F.col("_contig")) & (F.col("pos") == F.col("_pos")), "inner").select(*points.columns, "set_name")
     index = block_index(intervals, block_bp)
     keyed = points.withColumn("_blk", _block(F.col("pos"), block_bp))
     inside = (
@@ -105,7 +184,7 @@ def attach_sets(
         & (F.col("_blk") == F.col("_block"))
         & F.col("pos").between(F.col("_from"), F.col("_to"))
     )
-    if index_bound(intervals, block_bp) <= broadcast_entries:
+    if small:
         joined = keyed.join(F.broadcast(index), inside, "inner")
     else:
         hot = F.broadcast(_hot_blocks(keyed, min_hot_rows))
@@ -126,5 +205,7 @@ def attach_sets(
 
 def membership(points: DataFrame, intervals: DataFrame, **options) -> DataFrame:
     """Distinct ``(contig, pos, set_name)``: overlapping intervals of a set count a site once."""
+    if options.get("large", "sweep") == "sweep" and index_bound(intervals, options.get("block_bp", BLOCK_BP)) > options.get("broadcast_entries", BROADCAST_ENTRIES):
+        return sweep_membership(points, intervals, options.get("cell_bp", CELL_BP))
     places = points.select("contig", "pos").distinct()
     return attach_sets(places, intervals, **options)

@@ -12,6 +12,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import cut_lineage
+
+#: Strata whose cut points may be broadcast: about 600 bytes each.
+BROADCAST_STRATA = 20_000
+
 
 def draw_key(seed: int, *parts: str | Column) -> Column:
     """Random-looking but repeatable order: md5 of seed and row key.
@@ -27,19 +32,33 @@ def draw_bucket(key: Column) -> Column:
     return F.substr(key, F.lit(1), F.lit(3))
 
 
-def fitted_buckets(counted: DataFrame, by: list[str], value: str, buckets: int = 64) -> DataFrame:
+def _same(left: list[str], right: list[str]) -> Column:
+    return reduce(Column.__and__, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)], F.lit(True))
+
+
+def _told(rows: DataFrame, facts: DataFrame, by: list[str], few: bool) -> DataFrame:
+    """Inner join of ``facts`` per ``by``, null-safe; broadcast when they were counted to be ``few``."""
+    named = facts.withColumnsRenamed({c: f"_f{i}" for i, c in enumerate(by)})
+    joined = rows.join(F.broadcast(named) if few else named, _same(by, [f"_f{i}" for i in range(len(by))]), "inner")
+    return joined.drop(*[f"_f{i}" for i in range(len(by))])
+
+
+def cut_points(rows: DataFrame, by: list[str], value: str, buckets: int = 64) -> tuple[DataFrame, bool]:
+    """Approximate quantiles of each stratum, one bounded list each, and whether the strata are few enough to broadcast."""
+    shares = [k / buckets for k in range(1, buckets)]
+    cuts = cut_lineage(rows.groupBy(*by).agg(F.percentile_approx(value, shares, 1_000).alias("_cuts")))
+    return cuts, cuts.count() <= BROADCAST_STRATA
+
+
+def fitted_buckets(rows: DataFrame, by: list[str], value: str, buckets: int = 64) -> DataFrame:
     """Add ``_slice``, an order-preserving bucket number fitted to the values of each stratum.
 
-    Cut points are approximate quantiles of the distinct values, one bounded list per stratum, so values that lie close
-    together spread over the buckets as well as those that lie far apart. ``counted`` holds each value once.
+    Values that lie close together spread over the buckets as well as those that lie far apart. Rows stay where they are while the strata can be
+    broadcast.
     """
-    shares = [k / buckets for k in range(1, buckets)]
-    keys = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in by]
-    cuts = counted.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.percentile_approx(value, shares, 1_000).alias("_cuts"))
-    same = [k == F.col(f"_k{i}") for i, k in enumerate(keys)]
-    joined = counted.join(cuts, reduce(Column.__and__, same), "inner")
+    cuts, few = cut_points(rows, by, value, buckets)
     below = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    return joined.select(*counted.columns, below.alias("_slice"))
+    return _told(rows, cuts, by, few).withColumn("_slice", below).drop("_cuts")
 
 
 def running_total(
@@ -108,7 +127,15 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
 
 
 def first_n(df: DataFrame, by: list[str], seed: int, key: list[str], n: int) -> DataFrame:
-    """Seeded sample without replacement of at most ``n`` rows per stratum."""
+    """Seeded sample without replacement of at most ``n`` rows per stratum.
+
+    Up to Spark's limit for it, each task keeps its own first n rows of a stratum before the shuffle; a larger draw goes through
+    buckets. Both draw the same rows.
+    """
+    if n <= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        order = [draw_key(seed, *key), *[F.col(f"`{c}`") for c in dict.fromkeys([*key, *df.columns])]]
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        return df.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
     drawn = fit_budget(df, by, seed, key, None, F.lit(n).cast("bigint"))
     return repeat_rows(drawn, "_fits").select(*df.columns)
 
@@ -116,27 +143,43 @@ def first_n(df: DataFrame, by: list[str], seed: int, key: list[str], n: int) ->
 def exact_quantiles(df: DataFrame, by: list[str], value: str, probabilities: dict[str, float]) -> DataFrame:
     """Interpolated quantiles with count, min and max per stratum; NULL values are ignored.
 
-    Equal values are counted before the shuffle, and no task sees more than one bucket.
+    Multiway selection: approximate cut points, exact counts per bucket (combined before the shuffle), and then only the buckets that
+    hold a wanted rank are ordered. Of all other rows nothing but their count moves. Values are written once, narrow, and read
+    three times.
     """
-    x = F.col(value).cast("double")
-    counted = (
-        df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull())
-        .groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    rows = cut_lineage(df.select(*by, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull()))
+    cuts, few = cut_points(rows, by, "_x")
+    below = F.size(F.filter("_cuts", lambda c: c < F.col("_x")))
+    placed = _told(rows, cuts, by, few).select(*by, "_x", below.alias("_slice"))
+    # At most one row per bucket from here to the picks.
+    sizes = placed.groupBy(*by, "_slice").agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_low"), F.max("_x").alias("_high"))
+    whole = Window.partitionBy(*by)
+    upto = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = sizes.select(
+        *by, "_slice", "_n", (F.sum("_n").over(upto) - F.col("_n")).alias("_before"), F.sum("_n").over(whole).alias("_whole"),
+        F.min("_low").over(whole).alias("_min"), F.max("_high").over(whole).alias("_max"),
     )
-    sliced = fitted_buckets(counted, by, "_x")
-    ranked = running_total(sliced, by, F.col("_slice"), [F.col("_x")], F.col("_c")).drop("_slice")
     last = (F.col("_whole") - 1).cast("double")
 
+    def holds(rank: Column) -> Column:
+        return (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n"))
+
+    wanted = [holds(end(last * p)) for p in probabilities.values() for end in (F.floor, F.ceil)]
+    picks = known.filter(reduce(Column.__or__, wanted)).drop("_n")
+    # Two buckets a probability and stratum: as few as the strata are.
+    chosen = _told(placed, picks, [*by, "_slice"], few)
+    merged = chosen.groupBy(*by, "_slice", "_x").agg(F.count(F.lit(1)).alias("_c"), *[F.first(c).alias(c) for c in ("_before", "_whole", "_min", "_max")])
+    inside = Window.partitionBy(*by, "_slice").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = merged.withColumn("_running", F.col("_before") + F.sum("_c").over(inside))
+
     def at(rank: Column) -> Column:
-        inside = (F.col("_running") - F.col("_c") <= rank) & (rank < F.col("_running"))
-        return F.max(F.when(inside, F.col("_x")))
+        here = (F.col("_running") - F.col("_c") <= rank) & (rank < F.col("_running"))
+        return F.max(F.when(here, F.col("_x")))
 
     parts = []
     for name, p in probabilities.items():
         parts += [at(F.floor(last * p)).alias(f"_lo_{name}"), at(F.ceil(last * p)).alias(f"_hi_{name}")]
-    found = ranked.groupBy(*by).agg(
-        F.max("_whole").alias("n"), F.min("_x").alias("min"), F.max("_x").alias("max"), *parts
-    )
+    found = ranked.groupBy(*by).agg(F.max("_whole").alias("n"), F.min("_min").alias("min"), F.max("_max").alias("max"), *parts)
     top = (F.col("n") - 1).cast("double")
     return found.select(
         *by, "n", "min", "max",

@@ -22,7 +22,10 @@ def brute_membership(points, intervals):
     })
 
 
-@pytest.mark.parametrize("way", [{}, {"broadcast_entries": 0, "min_hot_rows": 5}, {"broadcast_entries": 0}, {"block_bp": 7}])
+@pytest.mark.parametrize("way", [
+    {}, {"broadcast_entries": 0, "min_hot_rows": 5, "large": "blocks"}, {"broadcast_entries": 0, "large": "blocks"}, {"block_bp": 7},
+    {"broadcast_entries": 0}, {"broadcast_entries": 0, "cell_bp": 50},
+])
 def test_membership_against_brute_force(spark, way):
     rng = random.Random(1)
     intervals = [
@@ -46,7 +49,7 @@ def test_hot_block_is_cut_and_whole(spark):
     keyed = points.withColumn("_blk", F.expr("CAST(pos DIV 128 AS INT)"))
     hot = {r._hot_block: r._parts for r in membership._hot_blocks(keyed, 1000).collect()}
     assert hot == {5: 11}
-    way = {"block_bp": 128, "broadcast_entries": 0, "min_hot_rows": 1000}
+    way = {"block_bp": 128, "broadcast_entries": 0, "min_hot_rows": 1000, "large": "blocks"}
     got = membership.attach_sets(points, intervals, **way).groupBy("set_name").count()
     want = membership.attach_sets(points, intervals, block_bp=128).groupBy("set_name").count()
     assert rows_of(got) == rows_of(want) and got.count() == 2
@@ -70,12 +73,30 @@ def test_pile_up_is_merged_inside_blocks(spark):
 def test_membership_plans(spark):
     points = spark.range(1000).selectExpr("'chr1' AS contig", "CAST(id AS INT) AS pos", "id AS sample")
     intervals = spark.createDataFrame([("S", "chr1", 11, 20)], INTERVALS)
-    for way in ({}, {"broadcast_entries": 0}):
+    for way in ({}, {"broadcast_entries": 0}, {"broadcast_entries": 0, "large": "blocks"}):
         df = membership.attach_sets(points, intervals, **way)
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_sweep_carries_open_intervals(spark):
+    """A long interval is two steps and one carried row per cell, whatever lies in between; batches cut cells anywhere."""
+    rng = random.Random(4)
+    intervals = [("L", "chr1", 1, 9_999), ("M", "chr1", 700, 700), ("M", "chr1", 701, 760), ("N", "chr2", 5, 2_000), ("N", "chr2", 6, 1_500), ("L", None, 1, 5)]
+    intervals += [(rng.choice("MN"), rng.choice(["chr1", "chr2"]), s := rng.randint(1, 9000), s + rng.choice([0, 9, 900])) for _ in range(200)]
+    points = [(rng.choice(["chr1", "chr2", "chr3"]), rng.randint(0, 12_000)) for _ in range(3_000)] + [(None, 7), ("chr1", None)]
+    frames = spark.createDataFrame(points, "contig string, pos int"), spark.createDataFrame(intervals, INTERVALS)
+    want = brute_membership([p for p in points if None not in p], [i for i in intervals if i[1]])
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for batch, cell in ((10_000, 1 << 20), (7, 64), (1, 1_000)):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            assert rows_of(membership.sweep_membership(*frames, cell_bp=cell)) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert membership.sweep_membership(frames[0].limit(0), frames[1]).count() == membership.sweep_membership(frames[0], frames[1].limit(0)).count() == 0
+
+
 # --- counting -----------------------------------------------------------------------------
 
 
@@ -146,6 +167,32 @@ def test_draw_with_a_third_of_rows_equal(spark):
     assert sorted(got) == sorted(want)
 
 
+def test_small_draws_keep_their_rows_in_the_tasks(spark):
+    """The limit per stratum stands before the shuffle, and both ways draw the same rows."""
+    df = spark.range(5_000).selectExpr("CAST(id AS STRING) AS sample_id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('g', id % 7) END AS grp", "'x' AS ancestry")
+    few = ranking.first_n(df, ["grp"], 3, ["sample_id"], 40)
+    assert few._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") >= 2
+    drawn = ranking.repeat_rows(ranking.fit_budget(df, ["grp"], 3, ["sample_id"], None, F.lit(40).cast("bigint")), "_fits").select(*df.columns)
+    assert rows_of(few) == rows_of(drawn)
+    assert "WindowGroupLimit" in labels.subsample(df, 50, 50)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quantile_rows_do_not_meet_by_stratum(spark):
+    """Rows move by stratum, bucket and value at least; only partial results move by stratum alone."""
+    df = spark.range(20_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'a' END AS g", "CAST(id % 7919 AS DOUBLE) AS v").repartition(8)
+    found = ranking.exact_quantiles(df, ["g"], "v", {"q": 0.5})
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
+    lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    for k, line in enumerate(lines):
+        if "Exchange hashpartitioning(g#" in line and "_slice" not in line:
+            assert "partial_" in lines[k + 1] or "_slice" in "".join(lines[k + 1 : k + 3]), lines[k : k + 3]
+    import numpy as np
+
+    for r in found.collect():
+        assert r.q == np.median([i % 7919 for i in range(20_000) if (i % 3 == 0) == (r.g == "a")])
+
+
 def test_repeat_rows_past_one_block(spark):
     df = spark.createDataFrame([("a", 25_001), ("b", 0), ("c", 10_000)], "k string, n bigint")
     assert rows_of(ranking.repeat_rows(df, "n").groupBy("k").count()) == [("a", 25_001), ("c", 10_000)]
