@@ -105,7 +105,9 @@ def sweep_membership(points: DataFrame, intervals: DataFrame, cell_bp: int = CEL
     steps = ends.filter("contig IS NOT NULL AND set_name IS NOT NULL").groupBy("contig", "set_name", "pos").agg(F.sum("delta").alias("delta")).filter("delta <> 0").withColumn("cell", cell)
     # One row per set and cell with a step or a site: what a cell begins with is the sum of the cells before it.
     sums = steps.groupBy("contig", "set_name", "cell").agg(F.sum("delta").alias("delta"))
-    visited = places.select("contig", cell.alias("cell")).distinct()
+    # Not the column itself: were it a constant, the optimizer would take it out of the join's keys.
+    named = F.when(F.col("pos") > -(1 << 62), F.col("contig"))
+    visited = places.select(named.alias("contig"), cell.alias("cell")).distinct()
     still = visited.join(sums.select("contig", "set_name").distinct(), "contig").select("contig", "set_name", "cell", F.lit(0).cast("bigint").alias("delta"))
     order = Window.partitionBy("contig", "set_name").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     every = sums.unionByName(still).groupBy("contig", "set_name", "cell").agg(F.sum("delta").alias("delta"))
