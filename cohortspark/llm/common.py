@@ -12,6 +12,9 @@ SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+#: Every byte that ends a word as a space, A-Z as a-z: what is left between spaces are words of letters, digits and non-ASCII characters.
+FOLDED = bytes(b if b >= 128 else (ord(chr(b).lower()) if chr(b).isalnum() else 32) for b in range(256))
+
 #: A key is hot when it has more than one row in this many; so there are fewer hot keys than this.
 HOT_SHARE = 1_000
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortspark.llm import bitmap
-from cohortspark.llm.common import LOWER, UPPER, lookup, text_of, words
+from cohortspark.llm.common import FOLDED, LOWER, UPPER, lookup, text_of
 from cohortspark.shared import cut_lineage
 
 KINDS = ["email", "ip", "card", "phone", "term"]
@@ -139,12 +139,18 @@ def _entity(text: str, start: int, kind: int, end: int) -> str:
     return f"{KINDS[kind]}:" + (value.translate(_LOWER) if kind < 2 else "".join(c for c in value if c.isdigit()))
 
 
-def _may_hold(bits, size: int, values: list[str]) -> list[bool]:
+def _may_hold(bits, size: int, values: list[bytes]) -> list[bool]:
     """Whether the filter may hold the strings, hashed as ``xxhash64`` does."""
-    slots = np.array([xxhash.xxh64_intdigest(v.encode(), 42) & (size - 1) for v in values], np.int64)
+    slots = np.array([xxhash.xxh64_intdigest(v, 42) & (size - 1) for v in values], np.int64)
     return bitmap._get(bits, slots).tolist()
 
 
+def _held(bits, size: int, folded: bytes) -> list[bytes]:
+    """The distinct words of a folded text that the filter may hold."""
+    own = list(set(folded.split()))
+    return [w for w, h in zip(own, _may_hold(bits, size, own)) if h]
+
+
 def _is_term(word: str) -> bool:
     return len(word) >= 3 and not word.isdigit()
 
@@ -163,7 +169,7 @@ def _pairs(wanted, size: int, near: int):
                     if entity not in around:
                         around[entity] = " ".join(w for w, _, _ in _neighbours(text, start, end, spans, near))
                 own = list(around)
-                own = [e for e, held in zip(own, _may_hold(bits, size, own)) if held]
+                own = [e for e, held in zip(own, _may_hold(bits, size, [e.encode() for e in own])) if held]
                 if not own:
                     continue
                 all_words, first = _WORD.findall(text.translate(_LOWER)), {}
@@ -178,22 +184,50 @@ def _pairs(wanted, size: int, near: int):
     return run
 
 
+def _held_words(wanted, size: int):
+    """Each distinct word of a text that the filter may hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = wanted.value
+        for batch in batches:
+            found = [w for text in batch.column(0) for w in _held(bits, size, text.as_py().translate(FOLDED))]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()).cast(pa.string())], ["term"])
+
+    return run
+
+
+def _places(data: bytes, folded: bytes, held: list[bytes]) -> list[tuple[int, str, int]]:
+    """Start, word and end, in code points, of every occurrence of the words, by start."""
+    padded, found = b" " + folded + b" ", []
+    for word in held:
+        at, sought = -1, b" " + word + b" "
+        # The space behind one word is the one before the next.
+        while (at := padded.find(sought, at + 1)) >= 0:
+            found.append((at, word))
+    out, seen, points = [], 0, 0
+    for at, word in sorted(found):
+        points += len(data[seen:at].decode())
+        own = word.decode()
+        out.append((points, own, points + len(own)))
+        seen = at
+    return out
+
+
 def _marked(wanted, size: int):
-    """Words of a text that the filter may hold, outside of matches."""
+    """Words of a text that the filter may hold, outside of matches. Only texts that have some are looked at word by word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
         for batch in batches:
-            for row, text in enumerate(batch.column(2)):
-                text = text.as_py()
-                found = [(m.group().translate(_LOWER), *m.span()) for m in _WORD.finditer(text)]
-                held = dict.fromkeys(w for w, _, _ in found if _is_term(w))
-                held = {w for w, h in zip(held, _may_hold(bits, size, list(held))) if h}
-                found = [f for f in found if f[0] in held]
-                if not found:
+            for row, data in enumerate(batch.column(2)):
+                data = data.as_py()
+                folded = data.translate(FOLDED)
+                held = _held(bits, size, folded)
+                if not held:
                     continue
-                spans, at, kept, reach = base_spans(text), 0, [], 0
-                for word, a, b in found:
+                spans, at, kept, reach = base_spans(data.decode()), 0, [], 0
+                for a, word, b in _places(data, folded, held):
                     while at < len(spans) and spans[at][0] < b:
                         reach = max(reach, spans[at][2])
                         at += 1
@@ -228,7 +262,15 @@ def rules(found: DataFrame, docs: DataFrame, text: str, near: int, generalise: f
         .groupBy("entity", "term").agg(F.sum(F.when(F.col("whole"), F.col("n"))).alias("n_both"), F.count(F.when(F.col("whole"), 1)).alias("n_whole"), F.count(F.when(~F.col("whole"), 1)).alias("n_near"))
         .filter(F.greatest("n_whole", "n_near") >= min_contexts)
     )
-    terms = docs.select(F.explode(F.array_distinct(words(text))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    both = cut_lineage(both)
+    # Documents are counted for the terms that are left, not for all words there are.
+    candidates = both.select(F.xxhash64("term").alias("h")).distinct()
+    size = bitmap.size_for(candidates.count())
+    asked = bitmap.build(candidates, size)
+    held = docs.select(text_of(text).cast("binary").alias("text")).mapInArrow(_held_words(asked, size), "term string")
+    terms = cut_lineage(held.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")))
+    asked.destroy()
+    wanted.destroy()
     own = F.log(total / F.col("n_entity"))
     shared = F.log(F.col("n_both") * total / (F.col("n_term") * F.col("n_entity")))
     return (
@@ -264,7 +306,7 @@ def sanitise(
     size = bitmap.size_for(disclosed.count())
     wanted = bitmap.build(disclosed.select(F.xxhash64("term").alias("h")), size)
     kind = found.schema["id"].dataType.simpleString()
-    source = docs.select(F.col(key).alias("id"), content.alias("content"), text_of(text).alias("text"))
+    source = docs.select(F.col(key).alias("id"), content.alias("content"), text_of(text).cast("binary").alias("text"))
     mentions = source.mapInArrow(_marked(wanted, size), f"id {kind}, content bigint, term string, start int, end int")
     mentions = source.sparkSession.createDataFrame([], mentions.schema) if disclosed.isEmpty() else cut_lineage(mentions)
     facts = disclosed.join(mentions.groupBy("term").agg(F.count(F.lit(1)).alias("n_rows")), "term")

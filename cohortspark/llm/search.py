@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from cohortspark.llm.common import LOWER, UPPER, text_of, words
+from cohortspark.llm.common import FOLDED, text_of, words
 from cohortspark.shared import cut_lineage
 
 TOP = 50
@@ -47,8 +47,6 @@ BUCKETS = 32
 #: Documents scored together.
 _SLICE = 2_048
 _PIECE = 1 << 20
-#: Every byte that ends a term as a space, A-Z as a-z.
-_FOLD = bytes(b if b >= 128 else (ord(chr(b).lower()) if chr(b).isalnum() else 32) for b in range(256))
 
 
 def _pieces(data: bytes) -> Iterator[bytes]:
@@ -72,7 +70,7 @@ def _fold(vocabulary: Broadcast, width: int, key_type: pa.DataType):
             lengths, held, found = [], [], []
             for text in batch.column(1):
                 n = own = 0
-                for piece in _pieces(text.as_py().translate(_FOLD)):
+                for piece in _pieces(text.as_py().translate(FOLDED)):
                     terms = piece.split()
                     n += len(terms)
                     hits = list(filter(None, map(number, terms)))

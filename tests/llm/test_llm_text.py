@@ -407,6 +407,17 @@ def test_scanning_is_linear(text):
     assert len(pii.base_spans(text)) <= 100_000
 
 
+def test_places_of_words():
+    rng = random.Random(12)
+    pieces = ["owl", "Owl", "owls", "é", "日本", " ", ".", "-", "OWL owl", "x1"]
+    for _ in range(300):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(30)))
+        data = text.encode()
+        want = [(m.start(), m.group().translate(pii._LOWER), m.end()) for m in pii._WORD.finditer(text)]
+        words = ["owl", "é", "日本owl", "x1"]
+        assert pii._places(data, data.translate(pii.FOLDED), [w.encode() for w in words]) == [w for w in want if w[1] in words]
+
+
 def test_terms_that_disclose(spark):
     """A code name that only occurs beside one address is removed, a common word stays; copies are one piece of evidence."""
     rng = random.Random(10)
