@@ -88,9 +88,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "warc")
     warc.write_archives(pages, path)
     records = warc.read_records(warc.index_archives(spark, path))
+    kind = pages.schema["page_id"].dataType
     return records.select(
-        F.col("record_id").cast("bigint").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type",
-        F.col("refers_to").cast("bigint").alias("refers_to"),
+        F.col("record_id").cast(kind).alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
     )
 
 

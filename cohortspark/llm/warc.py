@@ -5,7 +5,7 @@ revisit it and carry no payload. Records are plain text rows that Spark's text w
 ends with, so archives are written, committed and retried like any table on any file system.
 
 Reading: a first pass walks the record headers of every archive, skipping payloads, and writes an index (file, offset,
-length, url, digest). Records are then selected in the index alone; their ranges are sorted by place, neighbours are coalesced
+length, url, digest). Archives of other writers are read too: uncompressed or with a gzip member per record, with records of any type and without digests. Records are then selected in the index alone; their ranges are sorted by place, neighbours are coalesced
 to reads of at most ``READ_BYTES`` (a longer record is one read), and the reads are dealt over the tasks.
 
 Edge cases: a null payload is empty; a null url is left out of the record; line ends in a url are percent-encoded; rows with equal id and
@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+import zlib
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
@@ -24,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortspark.llm import bitmap
 from cohortspark.llm.common import lookup, text_of
 from cohortspark.shared import cut_lineage
 
@@ -33,6 +36,7 @@ READ_BYTES = 8 << 20
 _HEAD_BYTES = 1 << 12
 #: Fixed by RFC 4648.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_SHA1 = re.compile(f"[{BASE32}]{{32}}")
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _INDEX = "file string, offset bigint, length bigint, record_id string, record_type string, url string, digest string, payload_bytes bigint, refers_to string"
 
@@ -85,11 +89,24 @@ def _record(url: str, html: str) -> Column:
 
 
 def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", min_revisit_bytes: int = 0) -> None:
-    """WARC files under ``path``, one per task of the one shuffle that brings payloads and record types together."""
-    types = with_types(pages, key, html, min_revisit_bytes).distinct()
-    own = pages.select(F.col(key).alias("page"), F.col(url).alias("url"), F.col(html).alias("html")).withColumn("page_content", F.xxhash64(text_of("html").cast("binary")))
-    joined = own.join(types, F.col("page").eqNullSafe(F.col("id")) & (F.col("page_content") == F.col("content")))
-    joined.select(_record("url", "html").alias("value")).write.option("lineSep", RECORD_END).text(path)
+    """WARC files under ``path``. Pages whose payload cannot repeat are written where they are read; the others are shuffled once to meet their record types."""
+    data = text_of("html").cast("binary")
+    own = pages.select(F.col(key).alias("id"), F.col(url).alias("url"), F.col(html).alias("html")).withColumn("content", F.xxhash64(data))
+    hashes = pages.select(F.xxhash64(text_of(html).cast("binary")).alias("h"))
+    size = bitmap.size_for(hashes.count())
+    repeated = bitmap.build(hashes, size, twice=True)
+    split = own.withColumn("again", bitmap.hit(repeated, size, F.col("content")))
+    facts = ["payload_bytes", "payload_digest", "record_type", "refers_to"]
+    single = split.filter(~F.col("again")).select(
+        "id", "url", "html", F.octet_length(data).cast("bigint").alias("payload_bytes"), sha1_base32(data).alias("payload_digest"), F.lit("response").alias("record_type"),
+        F.lit(None).cast(own.schema["id"].dataType).alias("refers_to"),
+    )
+    several = split.filter("again")
+    types = with_types(several, "id", "html", min_revisit_bytes).distinct().withColumnsRenamed({"id": "tid", "content": "tcontent"})
+    joined = several.join(types, F.col("id").eqNullSafe(F.col("tid")) & (F.col("content") == F.col("tcontent")))
+    rows = single.unionByName(joined.select("id", "url", "html", *facts))
+    rows.select(_record("url", "html").alias("value")).write.option("lineSep", RECORD_END).text(path)
+    repeated.destroy()
 
 
 def _open(uri: str):
@@ -105,13 +122,64 @@ def _uri(path: str) -> str:
 
 
 def _headers(head: bytes) -> dict[str, str]:
-    pairs = (line.split(": ", 1) for line in head.decode("utf-8", "replace").split("\r\n")[1:])
-    return {p[0].lower(): p[1] for p in pairs if len(p) == 2}
+    pairs = (line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:])
+    return {name.strip().lower(): value.strip() for name, sign, value in pairs if sign}
 
 
 def _page(mark: str | None) -> str | None:
-    """The id inside a record id."""
-    return (mark.removeprefix("<urn:page:").removesuffix(">") or None) if mark else None
+    """The id inside a record id of our own, others as they are."""
+    if not mark:
+        return None
+    inner = mark.removeprefix("<").removesuffix(">")
+    return inner.removeprefix("urn:page:") or None
+
+
+def _plain_records(file, name: str, size: int) -> Iterator[tuple[int, int, bytes]]:
+    """Offset, length and header of uncompressed records; blocks are skipped."""
+    offset = 0
+    while offset < size:
+        head, step = b"", _HEAD_BYTES
+        while b"\r\n\r\n" not in head:
+            more = file.read_at(min(step, size - offset - len(head)), offset + len(head))
+            if not more:
+                if not head.strip():
+                    return
+                raise ValueError(f"{name}: no record at byte {offset}")
+            head += more
+        # Some writers put more line ends between records than the two they need.
+        begun = len(head) - len(head.lstrip(b"\r\n"))
+        offset, head = offset + begun, head[begun:]
+        if b"\r\n\r\n" not in head:
+            continue
+        head = head[: head.index(b"\r\n\r\n")]
+        if not head.startswith(b"WARC/"):
+            raise ValueError(f"{name}: no record at byte {offset}")
+        length = len(head) + 4 + int(_headers(head).get("content-length", 0))
+        yield offset, length, head
+        offset += length + len(RECORD_END)
+
+
+def _gzip_records(file, name: str, size: int) -> Iterator[tuple[int, int, bytes]]:
+    """Offset, compressed length and header of records that are a gzip member each."""
+    offset = 0
+    while offset < size:
+        member, head, at = zlib.decompressobj(31), b"", offset
+        while not member.eof:
+            more = file.read_at(min(1 << 20, size - at), at)
+            if not more:
+                raise ValueError(f"{name}: the record at byte {offset} has no end")
+            at += len(more)
+            while more and not member.eof:
+                text = member.decompress(more, 1 << 20)
+                more = member.unconsumed_tail
+                if b"\r\n\r\n" not in head:
+                    head += text
+        length = at - len(member.unused_data) - offset
+        head = head.lstrip(b"\r\n")
+        if not head.startswith(b"WARC/") or b"\r\n\r\n" not in head:
+            raise ValueError(f"{name}: no record at byte {offset}")
+        yield offset, length, head[: head.index(b"\r\n\r\n")]
+        offset += length
 
 
 def _index_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,23 +189,17 @@ def _index_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ])
     for batch in batches:
         for name, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            rows, offset = [], 0
+            rows = []
             with _open(_uri(name)) as file:
-                while offset < size:
-                    head, step = b"", _HEAD_BYTES
-                    while b"\r\n\r\n" not in head:
-                        more = file.read_at(min(step, size - offset - len(head)), offset + len(head))
-                        if not more:
-                            raise ValueError(f"{name}: no record at byte {offset}")
-                        head += more
-                    head = head[: head.index(b"\r\n\r\n")]
+                records = _gzip_records if file.read_at(2, 0) == b"\x1f\x8b" else _plain_records
+                for offset, length, head in records(file, name, size):
                     h = _headers(head)
-                    length = len(head) + 4 + int(h["content-length"])
+                    own = h.get("x-payload-length", "")
                     rows.append({
-                        "file": name, "offset": offset, "length": length, "record_id": _page(h["warc-record-id"]), "record_type": h["warc-type"], "url": h.get("warc-target-uri"),
-                        "digest": h["warc-payload-digest"].removeprefix("sha1:"), "payload_bytes": int(h["x-payload-length"]), "refers_to": _page(h.get("warc-refers-to")),
+                        "file": name, "offset": offset, "length": length, "record_id": _page(h.get("warc-record-id")), "record_type": h.get("warc-type"), "url": h.get("warc-target-uri"),
+                        "digest": h["warc-payload-digest"].removeprefix("sha1:") if "warc-payload-digest" in h else None,
+                        "payload_bytes": int(own) if own.isdigit() else None, "refers_to": _page(h.get("warc-refers-to")),
                     })
-                    offset += length + len(RECORD_END)
                     if len(rows) == 10_000:
                         yield pa.RecordBatch.from_pylist(rows, schema)
                         rows = []
@@ -152,6 +214,17 @@ def index_archives(spark: SparkSession, path: str) -> DataFrame:
     return cut_lineage(files.repartition("path").mapInArrow(_index_files, _INDEX))
 
 
+def _payload(record: bytes, kind: str | None) -> bytes | None:
+    """What a record brings: the body of a response, the block of a resource or conversion, nothing for other kinds."""
+    if record[:2] == b"\x1f\x8b":
+        record = zlib.decompress(record, 31).lstrip(b"\r\n")
+    head, _, block = record.partition(b"\r\n\r\n")
+    block = block[: int(_headers(head).get("content-length", len(block)))]
+    if kind == "response" and block.startswith(b"HTTP/"):
+        return block.partition(b"\r\n\r\n")[2]
+    return block if kind in ("response", "resource", "conversion") else None
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Records of ranges: rows come sorted by file and offset within a read."""
     columns = ["record_id", "record_type", "url", "digest", "payload_bytes", "refers_to"]
@@ -162,10 +235,13 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = opened.read_at(end - begin, begin)
         payloads = []
         for r in rows:
-            record = data[r["offset"] - begin : r["offset"] - begin + r["length"]]
-            payload = record.split(b"\r\n\r\n", 2)[2] if r["record_type"] == "response" else None
-            if payload is not None and base64.b32encode(hashlib.sha1(payload).digest()).decode() != r["digest"]:
-                raise ValueError(f"{file}: the payload at byte {r['offset']} does not match its digest")
+            payload = _payload(data[r["offset"] - begin : r["offset"] - begin + r["length"]], r["record_type"])
+            if payload is not None:
+                # The length of what was read, not what a header says; revisits have only that.
+                r["payload_bytes"] = len(payload)
+                known = r["digest"] is not None and _SHA1.fullmatch(r["digest"])
+                if known and base64.b32encode(hashlib.sha1(payload).digest()).decode() != r["digest"]:
+                    raise ValueError(f"{file}: the payload at byte {r['offset']} does not match its digest")
             payloads.append(payload)
         table = pa.RecordBatch.from_pylist([{c: r[c] for c in columns} for r in rows], pa.schema([
             (c, pa.int64() if c == "payload_bytes" else pa.string()) for c in columns

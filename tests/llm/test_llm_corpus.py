@@ -1,8 +1,10 @@
 """Packing, language identification, sharding, WARC archives and the pipeline."""
 
 import base64
+import gzip
 import hashlib
 import itertools
+import json
 import random
 import zlib
 
@@ -24,7 +26,6 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def whole_ids(text):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return t.encode(text, add_special_tokens=False).ids
 
 
@@ -33,8 +34,30 @@ def test_words_are_cut_where_the_tokenizer_cuts():
     pieces = ["the", "it's", "  ", " ", "\n", "\t", "é", "42", "...", " ", " ", "a_b", "<|endoftext|>", "'ll", "日本", "\x1c", "\r\n"]
     encoder = packing._Encoder(public_tokenizers.path("byte_bpe_50k.json"))
     texts = ["".join(rng.choice(pieces) + rng.choice(["", " "]) for _ in range(rng.randrange(40))) for _ in range(400)] + [""]
-    for text, ids in zip(texts, encoder.encode(texts)):
+    assert encoder.fast is not None
+    slow = packing._Encoder.__new__(packing._Encoder)
+    slow.fast, slow.tokenizer = None, Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text, ids, same in zip(texts, encoder.encode(texts), slow.encode(texts)):
         assert np.frombuffer(ids, "<u4").tolist() == whole_ids(text), text
+        assert ids == same
+
+
+def test_other_vocabularies_go_to_the_tokenizer():
+    spec = json.load(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8"))
+    assert packing._byte_level(spec) is not None
+    for part, key, value in (("pre_tokenizer", "add_prefix_space", True), ("model", "ignore_merges", True), ("model", "merges", spec["model"]["merges"][::-1])):
+        assert packing._byte_level(spec | {part: spec[part] | {key: value}}) is None
+    assert packing._byte_level(spec | {"normalizer": {"type": "NFC"}}) is None
+
+
+def test_every_character_has_the_ids_of_the_tokenizer():
+    """Letters, numbers and spaces are the same to both, whatever their Unicode tables."""
+    encoder = packing._Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    points = [c for c in range(0x32000) if not 0xD800 <= c < 0xE000]
+    for k in range(0, len(points), 500):
+        text = "".join(f"x{chr(c)}y 1{chr(c)}2 {chr(c)}{chr(c)} .{chr(c)}\n" for c in points[k : k + 500])
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("sizes", [[5], [1024] * 3, [700] * 9, list(range(1, 300)), [600, 500, 400, 300, 200, 100] * 20])
@@ -194,6 +217,48 @@ def test_archives_round_trip(spark):
     assert all(f.startswith("WARC/1.1\r\n") and f.endswith("\r\n\r\n") for f in files if f)
 
 
+def foreign_records():
+    """Records as other programs write them: kind, id, further lines, block."""
+    page = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n<p>one</p>\r\n\r\n<p>two</p>"
+    digest = base64.b32encode(hashlib.sha1(b"<p>one</p>\r\n\r\n<p>two</p>").digest()).decode()
+    return [
+        ("warcinfo", "<urn:uuid:1>", ["Content-Type: application/warc-fields"], b"software: x\r\n"), ("request", "<urn:uuid:2>", ["WARC-Target-URI: http://a/"], b"GET / HTTP/1.1\r\nHost: a\r\n\r\n"),
+        ("response", "<urn:uuid:3>", ["WARC-Target-URI: http://a/", f"WARC-Payload-Digest: sha1:{digest}"], page), ("response", "<urn:uuid:4>", ["WARC-Target-URI:http://b/"], page),
+        ("response", "<urn:uuid:5>", ["WARC-Payload-Digest: sha256:abc"], b"HTTP/1.1 204 No Content\r\n\r\n"), ("resource", "<urn:uuid:6>", [], b"x" * 70_000),
+        ("metadata", "<urn:uuid:7>", [], b""), ("revisit", "<urn:uuid:8>", ["WARC-Refers-To: <urn:uuid:3>"], b"HTTP/1.1 304 Not Modified\r\n\r\n"),
+    ], digest
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_archives_of_other_writers(spark, tmp_path, packed):
+    records, digest = foreign_records()
+    body = b""
+    for kind, mark, more, block in records:
+        head = "\r\n".join(["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: {mark}", *more, f"Content-Length: {len(block)}"])
+        record = head.encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+        body += gzip.compress(record) if packed else record + (b"\r\n" if kind == "request" else b"")
+    (tmp_path / ("a.warc.gz" if packed else "a.warc")).write_bytes(body)
+    index = warc.index_archives(spark, str(tmp_path))
+    assert [r.record_type for r in index.orderBy("offset").collect()] == [r[0] for r in records]
+    got = {r.record_id: r for r in warc.read_records(index, read_bytes=200).collect()}
+    page = b"<p>one</p>\r\n\r\n<p>two</p>"
+    assert {i.removeprefix("urn:uuid:"): r.payload and bytes(r.payload) for i, r in got.items()} == {
+        "1": None, "2": None, "3": page, "4": page, "5": b"", "6": b"x" * 70_000, "7": None, "8": None}
+    assert got["urn:uuid:3"].digest == digest and got["urn:uuid:4"].digest is None and got["urn:uuid:4"].payload_bytes == len(page)
+    assert got["urn:uuid:4"].url == "http://b/" and got["urn:uuid:8"].refers_to == "urn:uuid:3" and got["urn:uuid:8"].payload_bytes is None
+    (tmp_path / "broken.warc").write_bytes(b"no archive at all\r\n\r\n")
+    with pytest.raises(Exception, match="no record at byte 0"):
+        warc.index_archives(spark, str(tmp_path))
+
+
+def test_payloads_must_match_their_digest(spark, tmp_path):
+    block = b"HTTP/1.1 200 OK\r\n\r\nother"
+    head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nWARC-Payload-Digest: sha1:{'A' * 32}\r\nContent-Length: {len(block)}\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes(head.encode() + block + b"\r\n\r\n")
+    with pytest.raises(Exception, match="does not match its digest"):
+        warc.read_records(warc.index_archives(spark, str(tmp_path))).collect()
+
+
 def test_archives_small_payloads_are_responses(spark):
     df = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "long page"), (4, "u", "long page")], "page_id bigint, url string, html string")
     got = {r.id: r.record_type for r in warc.with_types(df, min_revisit_bytes=5).collect()}
