@@ -17,6 +17,7 @@ empty table gives an empty one. Input columns named like an output column are re
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,8 @@ _NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 _LOWER = str.maketrans(UPPER, LOWER)
 #: Characters around an entity in which its surroundings are looked for.
 _AROUND = 400
+#: Words that a task counts before it hands the counts on.
+_COUNTED = 200_000
 
 
 def _emails(text: str) -> list[tuple[int, int]]:
@@ -185,14 +188,22 @@ def _pairs(wanted, size: int, near: int):
 
 
 def _held_words(wanted, size: int):
-    """Each distinct word of a text that the filter may hold."""
+    """How many texts of the task hold each word that the filter may hold; counts are handed on when there are ``_COUNTED`` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = wanted.value
+        bits, counts = wanted.value, Counter()
+
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
+
         for batch in batches:
-            found = [w for text in batch.column(0) for w in _held(bits, size, text.as_py().translate(FOLDED))]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()).cast(pa.string())], ["term"])
+            for text in batch.column(0):
+                counts.update(_held(bits, size, text.as_py().translate(FOLDED)))
+            if len(counts) >= _COUNTED:
+                yield rows()
+                counts.clear()
+        if counts:
+            yield rows()
 
     return run
 
@@ -267,8 +278,8 @@ def rules(found: DataFrame, docs: DataFrame, text: str, near: int, generalise: f
     candidates = both.select(F.xxhash64("term").alias("h")).distinct()
     size = bitmap.size_for(candidates.count())
     asked = bitmap.build(candidates, size)
-    held = docs.select(text_of(text).cast("binary").alias("text")).mapInArrow(_held_words(asked, size), "term string")
-    terms = cut_lineage(held.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")))
+    held = docs.select(text_of(text).cast("binary").alias("text")).mapInArrow(_held_words(asked, size), "term string, n bigint")
+    terms = cut_lineage(held.groupBy("term").agg(F.sum("n").alias("n_term")))
     asked.destroy()
     wanted.destroy()
     own = F.log(total / F.col("n_entity"))
