@@ -14,7 +14,6 @@ one learned language everything else is that language. Input columns named like
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +25,6 @@ ADDED = ["lang_pred", "score", "ambiguous"]
 BUCKETS = 1 << 15
 UNKNOWN = "und"
 _SLICE = 1 << 21
-_LETTER = re.compile(r"[^\W\d_]")
 #: ASCII bytes that are no lower-case letter become a space.
 _FOLD = np.array([c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256)], np.uint8)
 
@@ -147,7 +145,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", sharpness
     @F.arrow_udf("struct<lang_pred string, score double, ambiguous boolean>")
     def run(texts: pa.Array) -> pa.Array:
         own, model = texts.to_pylist(), shared.value
-        known = [i for i, t in enumerate(own) if model and t is not None and _LETTER.search(t)]
+        known = [i for i, t in enumerate(own) if model and t is not None and any(map(str.isalpha, t))]
         names, scores, unsure = [UNKNOWN] * len(own), np.zeros(len(own)), np.zeros(len(own), bool)
         if known:
             sums, counts = np.zeros((len(known), model.weights.shape[1])), np.zeros(len(known))

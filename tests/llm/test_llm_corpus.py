@@ -125,9 +125,9 @@ def test_language_edges(spark):
     schema = "doc_id bigint, text string, lang string, score string, ambiguous string"
     learn = spark.createDataFrame([(1, "the cat sat on the mat with the hat", "en", "", ""), (2, "der hund und die katze sind nicht hier", "de", "", ""), (3, None, "fr", "", ""), (4, "x", None, "", "")], schema)
     long_text = "the hat and the cat " * 200_000
-    ask = spark.createDataFrame([(None, None, None, "", ""), (5, "", None, "", ""), (6, "123 ... \n", None, "", ""), (7, "der hund und die katze", None, "", ""), (8, long_text, None, "", ""), (7, "der hund und die katze", None, "", "")], schema)
+    ask = spark.createDataFrame([(None, None, None, "", ""), (5, "", None, "", ""), (6, "123 ... \n", None, "", ""), (9, "½ ² Ⅷ ①", None, "", ""), (7, "der hund und die katze", None, "", ""), (8, long_text, None, "", ""), (7, "der hund und die katze", None, "", "")], schema)
     got = {(r.doc_id, r.text): (r.lang_pred, r.score) for r in langid.identify(ask, langid.train(learn)).collect()}
-    assert got[(None, None)] == got[(5, "")] == got[(6, "123 ... \n")] == ("und", 0.0)
+    assert got[(None, None)] == got[(5, "")] == got[(6, "123 ... \n")] == got[(9, "½ ² Ⅷ ①")] == ("und", 0.0)
     assert got[(7, "der hund und die katze")][0] == "de" and got[(8, long_text)][0] == "en"
     nothing = langid.train(learn.filter("lang IS NULL"))
     assert nothing is None and {r.lang_pred for r in langid.identify(ask, nothing).collect()} == {"und"}
