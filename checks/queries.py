@@ -548,6 +548,24 @@ def q_vcf_customers(spark, sf_dir):
     return rows.select("sample_id", "set_name", *metrics.COUNTERS)
 
 
+@query
+def q_vcf_metrics_bitmap(spark, sf_dir):
+    """The metrics of the VCF again, counted by carrier bitmaps."""
+    rows = count_callset(
+        vcf_import(spark, sf_dir), fx.site_sets(spark, sf_dir), fx.SETS, fx.vcf_labels(spark, sf_dir), block_bp=fx.BLOCK_BP, by_bitmaps=True
+    )
+    return rounded(rows)
+
+
+@query
+def q_sample_counts_bitmap(spark, sf_dir):
+    """A column per customer, counted 64 customers at a time, with one segment wanted."""
+    wanted = fx.samples(spark, sf_dir).filter("grp = 'BUILDING'").selectExpr("CAST(sample_id AS STRING) AS sample_id", "ancestry", "grp")
+    calls = callset_source.import_vcf(spark, fx.write_wide_vcf(spark, sf_dir))
+    rows = count_callset(calls, fx.site_sets(spark, sf_dir), fx.SETS, wanted, block_bp=fx.BLOCK_BP, by_bitmaps=True)
+    return rows.select("sample_id", "set_name", *metrics.COUNTERS)
+
+
 def written_results(spark: SparkSession, sf_dir: str, group_order: list[str] | None = None) -> str:
     rows = cut_lineage(sample_metrics(spark, sf_dir))
     folder = shared_path(spark, "results")

@@ -9,7 +9,7 @@ from ..functions import metrics
 from . import labels as label_ops
 
 # Which allele class and zygosity each counter counts.
-_COUNTED = {
+COUNTED = {
     "snp_ti_het": ("ti", "het"),
     "snp_tv_het": ("tv", "het"),
     "snp_ti_hom": ("ti", "hom"),
@@ -22,7 +22,7 @@ _COUNTED = {
 
 
 def _counter(name: str) -> Column:
-    cls, zyg = _COUNTED[name]
+    cls, zyg = COUNTED[name]
     return F.count_if((F.col("allele_class") == cls) & (F.col("zygosity") == zyg)).alias(name)
 
 

@@ -4,7 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cohortspark.operators import bed, calls as call_ops, counting, labels, membership, pairwise, pca, ranking, report
+from cohortspark.operators import bed, bitmaps, calls as call_ops, counting, labels, membership, pairwise, pca, ranking, report
+from cohortspark.operators.samples import wanted_words
 
 INTERVALS = "set_name string, contig string, start int, end int"
 
@@ -487,3 +488,44 @@ def test_cross_ancestry_with_pairs_the_other_way_round(spark):
     got = report.cross_ancestry(report.parsed(df), "eur", "afr").collect()
     assert [(r.group_pair, r.d_x, r.d_y) for r in got] == [("A vs B", 0.4, 0.3)]
     assert report.stored_pairs(report.parsed(df)) == ["A vs B", "B vs A"]
+
+
+def test_carrier_bitmaps_count_like_calls(spark):
+    """Every bit of a word, folds of more than one part, a site without calls, null calls, masked and haploid calls."""
+    rng = random.Random(12)
+    names = [f"n{i:03d}" for i in range(300)]
+    kinds = [(0, 1), (1, 1), (1, None), (None, None), (0, 0)]
+    site_rows, truth = [], {}
+    for pos in range(40):
+        cls, sets, share = rng.choice(["ti", "tv", "ins", "del", "other"]), rng.sample(["A", "B"], rng.randint(1, 2)), rng.random()
+        calls = [(i, names[i], *rng.choice(kinds), rng.choice([None, "PASS", "LowGQ"])) for i in range(300) if rng.random() < share]
+        site_rows += [(s, cls, None if pos == 7 else [] if pos == 8 else calls) for s in sets]
+        for s in sets if pos not in (7, 8) else []:
+            for _, name, a1, a2, ft in calls:
+                zyg = "het" if (a1, a2) == (0, 1) else "hom" if a1 == 1 else None
+                if zyg and ft != "LowGQ":
+                    truth[name, s, cls, zyg] = truth.get((name, s, cls, zyg), 0) + 1
+    schema = "set_name string, allele_class string, calls array<struct<sample_no: int, sample_id: string, a1: int, a2: int, ft: string>>"
+    sites = spark.createDataFrame(site_rows, schema).repartition(3)
+    header = spark.createDataFrame(list(enumerate(names)), "sample_no int, sample_id string")
+    packed = bitmaps.pack_carriers(sites, haploid_as_hom=True)
+    found = {(r.sample_id, r.set_name): r for r in bitmaps.packed_counts(packed, header, ["A", "B", "C"]).collect()}
+    assert len(found) == 900
+    for (name, s), row in found.items():
+        for counter, (cls, zyg) in counting.COUNTED.items():
+            assert row[counter] == truth.get((name, s, cls, zyg), 0)
+
+    wanted = header.filter("sample_no % 3 = 0").select("sample_id")
+    some = bitmaps.packed_counts(packed, header, ["A", "B"], wanted_words(header, wanted)).collect()
+    for row in some:
+        if int(row.sample_id[1:]) % 3:
+            assert not any(row[c] for c in counting.COUNTED)
+        else:
+            assert row == found[row.sample_id, row.set_name]
+
+
+def test_carrier_bitmaps_make_no_row_per_call(spark):
+    schema = "set_name string, allele_class string, calls array<struct<sample_no: int, sample_id: string, a1: int, a2: int, ft: string>>"
+    common = spark.createDataFrame([("A", "ti", [(i, f"n{i}", 0, 1, None) for i in range(640)])], schema)
+    words = bitmaps.pack_carriers(common).first().words
+    assert [w.word for w in words] == list(range(10)) and all(w.het == -1 and w.hom == 0 for w in words)

@@ -83,6 +83,9 @@ def test_run_and_report(spark, cohort, tmp_path):
     assert spark.read.csv(drawn.written["sampled_stats"], sep="\t", header=True).count() == 9
     assert spark.read.csv(drawn.written["sample_stats"], sep="\t", header=True).count() == 47
 
+    bitmaps = run_cohort(spark, settings(cohort, cache_path=cache, count_by_bitmaps=True))
+    assert {r.sample_id: r for r in bitmaps.sample_stats.collect()} == stats
+
     again = run_cohort(spark, settings(cohort, cache_path=cache))
     assert again.written == {}
     cached = run_cohort(spark, CohortSettings(
