@@ -348,6 +348,9 @@ _QUERIES["q_vcf_customers"] = f"""WITH w AS (SELECT c_custkey FROM customer JOIN
  SELECT CAST(w.c_custkey AS VARCHAR) AS sample_id, s.set_name, coalesce(a, 0) AS snp_ti_het, coalesce(b, 0) AS snp_tv_het, coalesce(c, 0) AS snp_ti_hom,
    coalesce(d, 0) AS snp_tv_hom, 0::BIGINT AS indel_ins_het, 0::BIGINT AS indel_del_het, 0::BIGINT AS indel_ins_hom, 0::BIGINT AS indel_del_hom
  FROM w CROSS JOIN (SELECT unnest({fx.SETS!r}) AS set_name) s LEFT JOIN n ON n.c_custkey = w.c_custkey AND n.set_name = s.set_name"""
+_QUERIES["q_vcf_zones"] = """SELECT contig, min(pos) AS lo, max(pos) AS hi, count(*) AS sites, CAST(sum(n) AS BIGINT) AS calls FROM (
+   SELECT contig, pos, (SELECT count(*) FROM nation WHERE (7 * p_partkey + 11 * n_nationkey) % 10 BETWEEN 3 AND CASE WHEN two THEN 9 ELSE 8 END) AS n
+   FROM vcf_sites) GROUP BY contig"""
 _QUERIES["q_vcf_metrics_bitmap"] = _QUERIES["q_vcf_metrics"]
 _QUERIES["q_sample_counts_bitmap"] = _QUERIES["q_vcf_customers"]
 _QUERIES["q_membership_sweep"] = _QUERIES["q_membership"] + """ UNION SELECT DISTINCT contig, pos, 'WHOLE' FROM fx_calls WHERE contig = 'chr7'"""

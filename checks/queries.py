@@ -500,6 +500,16 @@ def q_vcf_sites(spark, sf_dir):
     ))
 
 
+@query
+def q_vcf_zones(spark, sf_dir):
+    """The zone map of a callset stored in order of position, summed up over its files."""
+    folder = shared_path(spark, "callset")
+    stored = callset_source.cached_import(spark, fx.write_vcf(spark, sf_dir), folder, range_partitions=16)
+    zones = spark.read.parquet(f"{stored.folder}/zones")
+    return zones.groupBy("contig").agg(
+        F.min("lo").cast("bigint").alias("lo"), F.max("hi").cast("bigint").alias("hi"), F.sum("sites").alias("sites"), F.sum("calls").alias("calls"))
+
+
 @query
 def q_vcf_cache_options(spark, sf_dir):
     """One cache path asked for two imports: each gets what its own options give."""

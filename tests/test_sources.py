@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 
 from cohortspark.operators import calls as call_ops
 from cohortspark.operators.samples import wanted_words
-from cohortspark.sources import blocks, callset, files, intervals, labels, results
+from cohortspark.sources import blocks, callset, files, intervals, labels, results, zones
 from cohortspark.sources.vcf import Callset, read_vcf
 
+
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())
+
 HEADER = ["##fileformat=VCFv4.2", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\ts2\ts3"]
 LINES = [
     "chr1\t100\t.\tA\tG\t50\tPASS\tDP=9;AF=0.02;AC=3\tGT:FT:DP\t0/1:PASS:3\t1|1:LowGQ:4\t./.",
@@ -218,6 +222,47 @@ def test_cached_scan_prunes(spark, text_file, tmp_path):
     assert callset.in_span(data, spans.limit(0)).sites.count() == 0
 
 
+def test_zone_map_picks_files(spark, tmp_path):
+    call = "array(named_struct('sample_no', 0, 'sample_id', 'a', 'a1', 0, 'a2', 1, 'ft', cast(null as string)))"
+    sites = spark.range(20_000).selectExpr(
+        "concat('chr', 1 + id % 2) AS contig", "int(id * 10000) AS pos", "'A' AS ref", "'G' AS alt",
+        "cast(null as array<string>) AS filters", "cast(null as array<double>) AS af", "cast(null as array<int>) AS ac",
+        f"if(id % 3 = 0, {call}, null) AS calls")
+    samples = spark.createDataFrame([(0, "a")], "sample_no int, sample_id string")
+    path = str(tmp_path / "c")
+    callset.write_callset(Callset(sites, samples), path, range_partitions=20)
+    stored = callset.read_callset(spark, path)
+    table = spark.read.parquet(f"{path}/zones")
+    assert table.agg(F.sum("sites"), F.sum("calls")).first() == (20_000, 6_667)
+
+    # Two sets at the two ends of one contig: what lies between is not read.
+    far = spark.createDataFrame(
+        [("A", "chr1", 5, 90_000), ("B", "chr1", 199_000_000, 199_990_000), ("B", "chr2", 9, 3), ("C", "chrX", 1, 9)],
+        "set_name string, contig string, start int, end int")
+    near = callset.in_span(stored, far).sites
+    files_read = len(near.inputFiles())
+    assert 1 <= files_read <= 4 < len(stored.sites.inputFiles()) == 20
+    inside = F.expr("contig = 'chr1' and (pos between 5 and 90000 or pos between 199000000 and 199990000)")
+    assert rows_of(near.filter(inside).select("contig", "pos")) == rows_of(sites.filter(inside).select("contig", "pos"))
+    assert zones.read_near(spark, path, far.filter("set_name = 'C'")).count() == 0
+    # Narrow cells change cost alone; bounds over several cells are found.
+    wide = spark.createDataFrame([("A", "chr2", 1, 150_000_000)], far.schema)
+    for cell_bp in (1 << 16, zones.CELL_BP, 1 << 31):
+        assert zones.read_near(spark, path, wide, cell_bp).filter("contig = 'chr2' and pos <= 150000000").count() == 7_500
+
+    # A file that the map does not know is read.
+    sites.limit(1).write.mode("append").parquet(f"{path}/sites")
+    assert len(zones.read_near(spark, path, far).inputFiles()) == files_read + 1
+
+
+def test_stale_imports_are_listed(spark, text_file, tmp_path):
+    source, cache = text_file("a.vcf", *HEADER, *LINES), str(tmp_path / "cache")
+    first = callset.cached_import(spark, source, cache)
+    assert callset.stale_imports(spark, cache) == []
+    second = callset.cached_import(spark, source, cache, force=True)
+    assert callset.stale_imports(spark, cache) == [first.folder] and second.folder != first.folder
+
+
 def test_callset_sorted_by_range(spark, text_file, tmp_path):
     data = callset.import_vcf(spark, text_file("a.vcf", *HEADER, *LINES))
     callset.write_callset(Callset(data.sites, data.samples), str(tmp_path / "c"), range_partitions=2)
