@@ -1,6 +1,6 @@
 """Sharding along a Hilbert curve, in DataFrame operations alone.
 
-Metadata columns are quantised to ``2 ** bits`` levels each by corpus quantiles, every cell of the grid gets its
+Metadata columns are quantised to ``2 ** bits`` levels each by corpus quantiles (strings by whole values), every cell of the grid gets its
 index on the Hilbert curve, and the rows, sorted by that index, are cut into runs with row counts at most one
 apart. Neighbours on the curve are near in every dimension, so each shard covers a small box of all
 of them and its files' column ranges prune filters on any.
@@ -25,42 +25,51 @@ from pyspark.sql import types as T
 from cohortspark.shared import cut_lineage
 
 ADDED = ["shard", "slot"]
-#: Characters of a string that make its place in the order of values, after what all values begin with.
-PLACE_BYTES = 7
 
 
-def _common_prefix(a: str, b: str) -> int:
-    n = 0
-    while n < min(len(a), len(b)) and a[n] == b[n]:
-        n += 1
-    return n
+def _number_cuts(df: DataFrame, dims: Sequence[str], shares: list[float], accuracy: int) -> dict[str, list[float]]:
+    """Quantiles of number columns: one aggregate for all of them."""
+    if not dims:
+        return {}
+    found = df.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, accuracy) for c in dims]).first()
+    return {c: cuts or [] for c, cuts in zip(dims, found)}
 
 
-def _places(df: DataFrame, dims: Sequence[str]) -> list[Column]:
-    """Each dimension as a number in the order of its values."""
-    texts = [c for c in dims if isinstance(df.schema[c].dataType, T.StringType)]
-    ends = df.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in texts for f in (F.min, F.max)]).first() if texts else None
-    out = []
-    for c in dims:
-        if c not in texts:
-            out.append(F.col(c).cast("double"))
-            continue
-        low, high = ends[f"min_{c}"], ends[f"max_{c}"]
-        skip = _common_prefix(low, high) if low is not None else 0
-        raw = F.hex(F.substring(c, skip + 1, PLACE_BYTES).cast("binary"))
-        out.append(F.conv(F.rpad(F.substring(raw, 1, 2 * PLACE_BYTES), 2 * PLACE_BYTES, "0"), 16, 10).cast("double"))
-    return out
+def _text_cuts(df: DataFrame, dim: str, levels: int) -> list[str]:
+    """Exact quantiles of a string column, by cumulated counts of whole values.
 
-
-def _levels(df: DataFrame, places: list[Column], bits: int, accuracy: int) -> list[Column]:
-    """The quantile each place falls in: one aggregate, ``2 ** bits - 1`` cuts a dimension."""
+    Values are counted in the tasks first, so a hot value is one row. Distinct values are laid out in ranges; a range begins
+    at the count of those before it, and at most ``levels - 1`` values, those in which a wanted rank falls, reach the driver.
+    """
+    counts = df.filter(F.col(dim).isNotNull()).groupBy(F.col(dim).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    # Stored, since a range's number must not change between the two reads.
+    ranges = cut_lineage(counts.repartitionByRange("value").select("value", "n", F.spark_partition_id().alias("range")))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range, as many as the shuffle has partitions.
+    starts = ranges.groupBy("range").agg(F.sum("n").alias("n")).select(
+        "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"), F.sum("n").over(Window.partitionBy()).alias("total"))
+    within = Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = ranges.join(F.broadcast(starts), "range").withColumn("upto", F.col("start") + F.sum("n").over(within))
+
+    def ranks(upto: Column) -> Column:
+        """How many of the wanted ranks, the k-th being k / levels of all rows, lie in the rows up to here."""
+        return F.least(F.call_function("div", upto * levels, F.col("total")), F.lit(levels - 1))
+
+    held = placed.filter(ranks(F.col("upto")) > ranks(F.col("upto") - F.col("n")))
+    return [r.value for r in held.select("value").collect()]
+
+
+def _levels(df: DataFrame, dims: Sequence[str], bits: int, accuracy: int) -> list[Column]:
+    """The quantile each value falls in: at most ``2 ** bits - 1`` cuts a dimension."""
+    texts = [c for c in dims if isinstance(df.schema[c].dataType, T.StringType)]
     shares = [k / 2**bits for k in range(1, 2**bits)]
-    cuts = df.agg(*[F.percentile_approx(p, shares, accuracy) for p in places]).first()
+    cuts = _number_cuts(df, [c for c in dims if c not in texts], shares, accuracy)
+    cuts |= {c: _text_cuts(df, c, 2**bits) for c in texts}
     out = []
-    for p, cut in zip(places, cuts):
-        edges = sorted(set(cut or []))
-        level = sum((F.when(p >= F.lit(float(e)), 1).otherwise(0) for e in edges), F.lit(0))
-        out.append(F.when(p.isNull(), 0).otherwise(level))
+    for c in dims:
+        place = F.col(c) if c in texts else F.col(c).cast("double")
+        level = sum((F.when(place >= F.lit(edge), 1).otherwise(0) for edge in sorted(set(cuts[c]))), F.lit(0))
+        out.append(F.when(place.isNull(), 0).otherwise(level))
     return out
 
 
@@ -105,7 +114,7 @@ def hilbert_shards(
     columns = rows.columns
     table = cut_lineage(rows)
     total = table.count()
-    levels = _levels(table, _places(table, dims), bits, accuracy)
+    levels = _levels(table, dims, bits, accuracy)
     grid = [f"_q{i}" for i in range(len(dims))]
     placed = table.withColumns(dict(zip(grid, levels)))
     part_rows = min(bucket_rows, max(100, total // 2_048))

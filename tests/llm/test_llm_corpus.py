@@ -176,6 +176,61 @@ def test_shards_are_gapless_and_equal(spark, n):
     assert sum(sizes) == n and max(sizes) - min(sizes) <= 1 and set(by) <= set(range(40))
 
 
+def plain_hilbert(point, bits):
+    """Index of a cell by the published transpose algorithm, one cell at a time."""
+    x, top = list(point), 1 << (bits - 1)
+    q = top
+    while q > 1:
+        for i in range(len(x)):
+            if x[i] & q:
+                x[0] ^= q - 1
+            else:
+                t = (x[0] ^ x[i]) & (q - 1)
+                x[0] ^= t
+                x[i] ^= t
+        q >>= 1
+    for i in range(1, len(x)):
+        x[i] ^= x[i - 1]
+    t, q = 0, top
+    while q > 1:
+        if x[-1] & q:
+            t ^= q - 1
+        q >>= 1
+    return int("".join(str((v ^ t) >> b & 1) for b in range(bits - 1, -1, -1) for v in x), 2)
+
+
+def plain_levels(values, levels):
+    known = sorted(v for v in values if v is not None)
+    edges = {known[-(-k * len(known) // levels) - 1] for k in range(1, levels)} if known else set()
+    return [0 if v is None else sum(v >= e for e in edges) for v in values]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_shards_against_brute_force(spark, seed):
+    """Every shard and slot from levels, curve and runs recomputed in plain Python; strings differ late and one is far away."""
+    rng = random.Random(seed)
+    urls = [f"https://example.org/archive/{rng.randrange(10**6):06d}" for _ in range(400)] + ["zzz", "", "é", None]
+    data = [(i, rng.choice(urls) if rng.random() < 0.7 else "https://example.org/hot", rng.choice([None, *range(50)]), rng.randrange(10**6)) for i in range(1_500)]
+    df = spark.createDataFrame(data, "doc_id bigint, url string, a int, b bigint").repartition(5)
+    got = sharding.hilbert_shards(df, ["url", "a", "b"], shards=7)
+    levels = list(zip(*[plain_levels([r[k] for r in data], 16) for k in (1, 2, 3)]))
+    assert len({q[0] for q in levels}) >= 10  # the outlier does not take the levels of the others
+    order = sorted(range(len(data)), key=lambda i: (plain_hilbert(levels[i], 4), i))
+    want = {}
+    for rank, i in enumerate(order):  # 1,500 rows in 7 shards: two of 215, five of 214
+        shard = rank // 215 if rank < 430 else 2 + (rank - 430) // 214
+        want[i] = (shard, rank - (shard * 215 if shard < 2 else 430 + (shard - 2) * 214))
+    assert {r.doc_id: (r.shard, r.slot) for r in got.collect()} == want
+
+
+def test_string_levels_of_few_or_no_values(spark):
+    schema = "doc_id bigint, s string"
+    assert sharding._text_cuts(spark.createDataFrame([], schema), "s", 16) == []
+    assert sharding._text_cuts(spark.createDataFrame([(1, None), (2, None)], schema), "s", 16) == []
+    assert sharding._text_cuts(spark.createDataFrame([(i, "same") for i in range(50)], schema), "s", 16) == ["same"]
+    assert sorted(sharding._text_cuts(spark.createDataFrame([(i, "ab"[i % 2]) for i in range(50)], schema), "s", 2)) == ["a"]
+
+
 def test_shards_prune(spark):
     """A shard covers a small part of every dimension."""
     rows = spark.range(20_000).selectExpr("id AS doc_id", "CAST(pmod(xxhash64(id), 1000) AS BIGINT) AS a", "CAST(pmod(xxhash64(id, 1), 1000) AS BIGINT) AS b")
