@@ -397,6 +397,8 @@ _QUERIES["q_metric_pca"] = _pca_sql(
 _QUERIES["q_embedding_pca"] = _pca_sql("SELECT * FROM embeddings", "label", ["vec_id"], [f"embedding[{i + 1}]" for i in range(64)])
 _QUERIES["q_results_summaries"] = _QUERIES["q_group_summaries"]
 _QUERIES["q_report_distributions"] = _QUERIES["q_results_distributions"]
+_QUERIES["q_downsample_manifest"] = f"""SELECT contig, CAST({fx.SEED} AS BIGINT) AS seed, '1.5 Kbp' AS bp_text, input_intervals, input_bp,
+  output_intervals, output_bp FROM ({_breakdown("uniform_kept")})"""
 _QUERIES["q_bed_roundtrip"] = "SELECT contig, start0, end0 FROM strat_kept"
 _QUERIES["q_vcf_cache_options"] = """SELECT 'all' AS import, contig, pos, ref, alt FROM vcf_sites
   UNION ALL SELECT 'frequent', contig, pos, ref, alt FROM vcf_sites WHERE max_af > 0.01 OR max_ac > 100"""

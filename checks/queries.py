@@ -11,6 +11,7 @@ from cohortspark.functions import metrics
 from cohortspark.operators import bed, calls as call_ops, counting, labels, membership, pairwise, pca, report
 from cohortspark.plans.cohort import count_callset
 from cohortspark.shared import cut_lineage, shared_path
+from cohortspark.plans.intervals import provenance, write_manifest
 from cohortspark.plans.report import build_report
 from cohortspark.sinks import sampled_rows, write_bed, write_results, write_tsv
 from cohortspark.sources import callset as callset_source
@@ -431,6 +432,17 @@ def q_downsample_breakdown(spark, sf_dir):
     return bed.breakdown(sets, bed.downsample(sets, _target(sets), False, fx.SEED, BED_KEY))
 
 
+@query
+def q_downsample_manifest(spark, sf_dir):
+    """The breakdown and settings of a draw, written beside its output and read back."""
+    sets = fx.bed_sets(spark, sf_dir)
+    parts = bed.breakdown(sets, bed.downsample(sets, _target(sets), False, fx.SEED, BED_KEY))
+    written = write_manifest(provenance(parts, "in.bed", "out.bed", F.lit(1_500).cast("bigint"), "given", False, fx.SEED), f"{shared_path(spark, 'bed')}/out.bed")
+    row = spark.read.json(written)
+    return row.select(F.inline("per_contig"), F.col("params.seed").alias("seed"), F.col("target.bp_text").alias("bp_text")).select(
+        "contig", "seed", "bp_text", "input_intervals", "input_bp", "output_intervals", "output_bp")
+
+
 @query
 def q_downsample_totals(spark, sf_dir):
     sets = fx.bed_sets(spark, sf_dir)

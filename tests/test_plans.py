@@ -4,6 +4,7 @@ from types import SimpleNamespace
 import pytest
 
 from cohortspark import CohortSettings, build_report, downsample_file, probe_sets, run_cohort
+from cohortspark.plans import downsample_context
 from cohortspark.shared import cut_lineage, shared_root
 from cohortspark.sinks import sampled_rows, write_bed
 
@@ -102,6 +103,10 @@ def test_run_and_report(spark, cohort, tmp_path):
     assert tables["cross_ancestry"].count() == 8
     assert {r.grp for r in tables["sample_sizes"].collect()} == {"X", "Y"}
     assert tables["group_means"].count() == 2 * 2 * 2 * 4
+    lean = build_report(spark, out, load_sample_stats=False, comparison_name="sequencing_site", ancestry_x="eur", ancestry_y="afr")
+    assert not {"distributions", "pca"} & set(lean) and {r.ancestry_x for r in lean["cross_ancestry"].collect()} == {"eur"}
+    capped = build_report(spark, out, max_per_group=3, max_samples=11)
+    assert max(r.n for r in capped["distributions"].collect()) == 3 and capped["pca"].count() == 22
     assert tables["volcano"].count() == 16 and tables["flagged"].count() == tables["flag_totals"].first().n_flagged
 
 
@@ -151,6 +156,14 @@ def test_interval_tools(spark, tmp_path):
     after, parts, totals = downsample_file(spark, big, str(tmp_path / "out"), match_files=[small], stat="max")
     t = totals.first()
     assert 0 < t.output_bp <= 900 and t.output_intervals == after.count() and parts.count() == 3
+    how = spark.read.json(str(tmp_path / "out.manifest")).first()
+    assert how.params.seed == 42 and how.params.stratified and how.target.bp == 900 and "max of" in how.target.source
+    assert (how.input.intervals, how.output.intervals, how.output.total_bp) == (500, t.output_intervals, t.output_bp)
+    assert [c.contig for c in how.per_contig] == [r.contig for r in parts.collect()] and sum(c.input_bp for c in how.per_contig) == t.input_bp
+    context = downsample_context(spark, big, after)
+    sizes = {r.set_name: r.intervals for r in context.summary.collect()}
+    assert sizes == {"big": 500, "small": 100, "big (downsampled)": t.output_intervals}
+    assert {r.set_name for r in downsample_context(spark, big, after, {}).summary.collect()} == {"big", "big (downsampled)"}
     written = spark.read.text(str(tmp_path / "out"))
     assert written.count() == t.output_intervals
     order = [(r.chrom_order, r.start0) for r in after.collect()]
