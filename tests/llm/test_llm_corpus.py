@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import itertools
 import json
+import math
 import random
 import zlib
 
@@ -121,6 +122,62 @@ def test_language_accuracy_on_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def plain_buckets(text):
+    """The trigram buckets of a text, one at a time."""
+    data = b" " + text.lower().encode("utf-8", "replace") + b" "
+    folded = [c if c >= 128 or 97 <= c <= 122 else 32 for c in data]
+    return [((a << 16 | b << 8 | c) * 2654435761) % 2**32 >> 17 for a, b, c in zip(folded, folded[1:], folded[2:])]
+
+
+def plain_decoder(labelled, code):
+    """Bit classifiers and loss-weighted decoding of the languages of ``labelled``, in loops over dictionaries."""
+    languages = sorted({lang for _, lang in labelled})
+    counts = {lang: {} for lang in languages}
+    for text, lang in labelled:
+        for b in plain_buckets(text):
+            counts[lang][b] = counts[lang].get(b, 0) + 1
+    whole = {lang: sum(c.values()) + 0.5 * langid.BUCKETS for lang, c in counts.items()}
+    share = lambda lang, b: (counts[lang].get(b, 0) + 0.5) / whole[lang]
+    bits = range(len(code[0]))
+
+    def weight(b, j):
+        ones = [share(lang, b) for lang, word in zip(languages, code) if word[j] > 0]
+        zeros = [share(lang, b) for lang, word in zip(languages, code) if word[j] < 0]
+        return math.log(sum(ones) / len(ones)) - math.log(sum(zeros) / len(zeros))
+
+    table = [[weight(b, j) for j in bits] for b in range(langid.BUCKETS)]
+    margins = [[word[j] * sum(share(lang, b) * table[b][j] for b in range(langid.BUCKETS)) for j in bits] for lang, word in zip(languages, code)]
+    scale = [sum(abs(m[j]) for m in margins) / len(languages) for j in bits]
+    trust = [max(min(m[j] / scale[j] for m in margins), 0.05) for j in bits]
+
+    def decide(text):
+        found = plain_buckets(text)
+        margin = [sum(table[b][j] for b in found) / len(found) / scale[j] for j in bits]
+        losses = [sum(trust[j] * math.exp(min(max(-word[j] * margin[j], -8), 8)) for j in bits) / sum(trust) for word in code]
+        best = min(losses)
+        second = sorted(losses)[1]
+        return languages[losses.index(best)], 1 / sum(math.exp(-4 * (x - best)) for x in losses), second - best
+
+    return decide
+
+
+def test_languages_against_brute_force(spark):
+    """Language, score and ambiguity of every document are those of a decoder that counts one trigram after another."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang")
+    learn = docs.filter("doc_id % 2 = 0 AND lang IS NOT NULL AND text IS NOT NULL")
+    model = langid.train(learn)
+    got = langid.identify(docs, model).collect()
+    pairs = [(r.text, r.lang) for r in learn.collect()]
+    decide = plain_decoder(pairs, langid.codewords(len({lang for _, lang in pairs})).tolist())
+    for r in got:
+        if r.text is None or not any(map(str.isalpha, r.text)):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        lang, score, gap = decide(r.text)
+        assert r.lang_pred == lang and math.isclose(r.score, score, abs_tol=1e-4)
+        assert r.ambiguous == (gap < 0.1) or abs(gap - 0.1) < 1e-4
+
+
 def test_language_edges(spark):
     schema = "doc_id bigint, text string, lang string, score string, ambiguous string"
     learn = spark.createDataFrame([(1, "the cat sat on the mat with the hat", "en", "", ""), (2, "der hund und die katze sind nicht hier", "de", "", ""), (3, None, "fr", "", ""), (4, "x", None, "", "")], schema)
