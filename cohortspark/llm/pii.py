@@ -3,9 +3,12 @@
 Emails, IP addresses, card and phone numbers are found by fixed patterns and are the protected entities. What a
 term discloses about one is measured over whole documents: the pointwise mutual information of
 term and entity, as a share of the entity's own information (1: the term never occurs without the
-entity). Where terms reach ``generalise`` of it they are replaced by their class, from ``remove`` on they are deleted. Copies
-of a passage count as one piece of evidence: a rule needs ``min_contexts`` documents that differ in the ``near`` words around the
-entity or around the term, or as many different surroundings of the entity with the term among them.
+entity). Where terms reach ``generalise`` of it they are replaced by their class, from ``remove`` on they are deleted.
+
+Near copies are one piece of evidence: a rule needs ``min_documents`` documents with both entity and term that are not near copies of
+each other. Documents with matches are sketched by least hashes of their five-word shingles, ``ROWS`` to a band; texts that share a
+band, and texts reachable over such links, are one family (similarity 0.8 shares one of the ``BANDS`` bands in 99.8 % of cases,
+0.2 in 2 %). Merging too much can only withhold a rule.
 
 A term is a word with a letter. Rules apply wherever a term stands outside of matches, also far from the entity and in documents
 without it. Scanning is linear in the text, also for long runs of characters that never become a match.
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 
 from cohortspark.llm import bitmap
 from cohortspark.llm.common import FOLDED, LOWER, UPPER, lookup, text_of
+from cohortspark.llm.components import connected_components
 from cohortspark.shared import cut_lineage
 
 KINDS = ["email", "ip", "card", "phone", "term"]
@@ -42,8 +46,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[0-9A-Za-z\u0080-\U0010FFFF]+")
 _NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 _LOWER = str.maketrans(UPPER, LOWER)
-#: Characters around an entity in which its surroundings are looked for.
-_AROUND = 400
+#: Words of a shingle; bands of a sketch and least hashes in each.
+SHINGLE, BANDS, ROWS = 5, 12, 4
+_NUMBERS = np.random.default_rng(5).integers(0, 1 << 64, SHINGLE + 2 * BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 #: Words that a task counts before it hands the counts on.
 _COUNTED = 200_000
 
@@ -98,39 +103,32 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _neighbours(text: str, start: int, end: int, taken: list[tuple[int, int, int]], near: int) -> list[tuple[str, int, int]]:
-    """Up to ``near`` words before and after an entity, not those of matches."""
-    low, high = max(0, start - _AROUND), min(len(text), end + _AROUND)
-    before = [m for m in _WORD.finditer(text, low, start) if m.start() > low or low == 0][-near:]
-    after = [m for m in _WORD.finditer(text, end, high) if m.end() < high or high == len(text)][:near]
-    out = []
-    for m in before + after:
-        a, b = m.span()
-        word = m.group().translate(_LOWER)
-        if _is_term(word) and not any(s < b and a < e for s, _, e in taken):
-            out.append((word, a, b))
-    return out
+def _bands(text: str) -> list[int]:
+    """A hash for each band of the text's sketch; fewer words than a shingle make one shingle, a text without words has no band."""
+    words = _WORD.findall(text.translate(_LOWER))
+    if not words:
+        return []
+    hashed = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+    n = max(len(words) - SHINGLE + 1, 1)
+    shingles = sum(hashed[j : j + n] * _NUMBERS[j] for j in range(min(SHINGLE, len(words))))
+    shingles ^= shingles >> np.uint64(29)
+    turns, factors = _NUMBERS[SHINGLE:].reshape(2, -1)
+    least = np.array([((shingles ^ t) * f).min() for t, f in zip(turns, factors)], np.uint64).reshape(BANDS, ROWS)
+    return [xxhash.xxh64_intdigest(row.tobytes(), k) - (1 << 63) for k, row in enumerate(least)]
 
 
-def _scan(near: int):
+def _scan():
     span = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
-    mention = pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("context", pa.int64())])
-    kind = pa.struct([("spans", pa.list_(span)), ("entities", pa.list_(pa.string())), ("mentions", pa.list_(mention))])
+    kind = pa.struct([("spans", pa.list_(span)), ("entities", pa.list_(pa.string())), ("bands", pa.list_(pa.int64()))])
 
     def one(text: str) -> dict:
-        spans, entities, mentions = base_spans(text), set(), []
-        for start, k, end in spans:
-            entity = _entity(text, start, k, end)
-            entities.add(entity)
-            around = _neighbours(text, start, end, spans, near)
-            context = xxhash.xxh64_intdigest(" ".join(w for w, _, _ in around)) - (1 << 63)
-            mentions += [{"entity": entity, "term": w, "start": a, "end": b, "context": context} for w, a, b in around]
-        return {"spans": [{"start": a, "kind": k, "end": b} for a, k, b in spans], "entities": sorted(entities), "mentions": mentions}
-
-    @F.arrow_udf(
-        "struct<spans array<struct<start int, kind int, end int>>, entities array<string>, "
-        "mentions array<struct<entity string, term string, start int, end int, context bigint>>>"
-    )
+        spans = base_spans(text)
+        return {
+            "spans": [{"start": a, "kind": k, "end": b} for a, k, b in spans],
+            "entities": sorted({_entity(text, *s) for s in spans}), "bands": _bands(text) if spans else [],
+        }
+
+    @F.arrow_udf("struct<spans array<struct<start int, kind int, end int>>, entities array<string>, bands array<bigint>>")
     def run(texts: pa.Array) -> pa.Array:
         return pa.array([one(t.as_py()) for t in texts], kind)
 
@@ -158,31 +156,22 @@ def _is_term(word: str) -> bool:
     return len(word) >= 3 and not word.isdigit()
 
 
-def _pairs(wanted, size: int, near: int):
-    """Each entity that the filter may hold with every term of the document, once; and the hash of both surroundings."""
+def _pairs(wanted, size: int):
+    """Each entity that the filter may hold with every term of the document, once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
         for batch in batches:
-            for text in batch.column(0):
+            for text, content in zip(batch.column(0), batch.column(1).to_pylist()):
                 text = text.as_py()
-                spans, around = base_spans(text), {}
-                for start, k, end in spans:
-                    entity = _entity(text, start, k, end)
-                    if entity not in around:
-                        around[entity] = " ".join(w for w, _, _ in _neighbours(text, start, end, spans, near))
-                own = list(around)
+                own = list({_entity(text, *s) for s in base_spans(text)})
                 own = [e for e, held in zip(own, _may_hold(bits, size, [e.encode() for e in own])) if held]
                 if not own:
                     continue
-                all_words, first = _WORD.findall(text.translate(_LOWER)), {}
-                for i, word in enumerate(all_words):
-                    if word not in first and _is_term(word):
-                        first[word] = " ".join(all_words[max(0, i - near) : i] + all_words[i + 1 : i + 1 + near])
-                terms = pa.array(list(first), pa.string())
+                terms = pa.array([w for w in set(_WORD.findall(text.translate(_LOWER))) if _is_term(w)], pa.string())
+                same = pa.array([content] * len(terms), pa.int64())
                 for entity in own:
-                    context = [xxhash.xxh64_intdigest(f"{around[entity]}\n{c}") - (1 << 63) for c in first.values()]
-                    yield pa.RecordBatch.from_arrays([pa.array([entity] * len(terms), pa.string()), terms, pa.array(context, pa.int64())], ["entity", "term", "context"])
+                    yield pa.RecordBatch.from_arrays([pa.array([entity] * len(terms), pa.string()), terms, same], ["entity", "term", "content"])
 
     return run
 
@@ -254,26 +243,41 @@ def _marked(wanted, size: int):
     return run
 
 
-def rules(found: DataFrame, docs: DataFrame, text: str, near: int, generalise: float, remove: float, min_contexts: int) -> DataFrame:
-    """entity, term, n_both (documents with both) and action, for the terms that disclose too much."""
+def families(found: DataFrame) -> DataFrame:
+    """content and family of the texts that are near copies of another text; all others stand for themselves."""
+    bands = cut_lineage(found.select("content", F.explode("scan.bands").alias("band")))
+    heads = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("head"), F.max("content").alias("last")).filter("head <> last").drop("last")
+    met = lookup(bands, heads, ["band"], "n", bands.count(), F.col("content")).filter("head IS NOT NULL")
+    return cut_lineage(connected_components(met.select(F.col("head").alias("a"), F.col("content").alias("b"))).withColumnsRenamed({"node": "content", "component": "family"}))
+
+
+def _with_family(rows: DataFrame, related: DataFrame, spread: Column) -> DataFrame:
+    """``rows`` with the family of their content."""
+    sizes = rows.groupBy("content").agg(F.count(F.lit(1)).alias("n_rows"))
+    return lookup(rows, related.join(sizes, "content"), ["content"], "n_rows", rows.count(), spread).withColumn("family", F.coalesce("family", "content"))
+
+
+def rules(found: DataFrame, docs: DataFrame, text: str, generalise: float, remove: float, min_documents: int) -> DataFrame:
+    """entity, term, n_both (documents with both), disclosure and action, for the terms that disclose too much."""
     total = F.lit(max(found.count(), 1)).cast("double")
-    mentions = found.select(F.explode("scan.mentions").alias("m")).select("m.entity", "m.term", "m.context")
-    seen = mentions.groupBy("entity").agg(F.countDistinct("context").alias("n_seen"))
-    # Others have too few surroundings for any rule.
+    related = families(found)
+    named = found.select("content", F.explode("scan.entities").alias("entity")).groupBy("entity", "content").agg(F.count(F.lit(1)).alias("n"))
+    # Others have too few documents for any rule.
     entities = cut_lineage(
-        found.select(F.explode("scan.entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).join(seen, "entity", "left")
-        .filter((F.col("n_entity") >= min_contexts) | (F.col("n_seen") >= min_contexts)).select("entity", "n_entity")
+        _with_family(cut_lineage(named), related, F.col("entity")).groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count_distinct("family").alias("n_families"))
+        .filter(F.col("n_families") >= min_documents).select("entity", "n_entity")
     )
     size = bitmap.size_for(entities.count())
     wanted = bitmap.build(entities.select(F.xxhash64("entity").alias("h")), size)
-    whole = docs.select(text_of(text).alias("text")).mapInArrow(_pairs(wanted, size, near), "entity string, term string, context bigint")
-    evidence = whole.withColumn("whole", F.lit(True)).union(mentions.withColumn("whole", F.lit(False)))
-    both = (
-        evidence.groupBy("entity", "term", "whole", "context").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("entity", "term").agg(F.sum(F.when(F.col("whole"), F.col("n"))).alias("n_both"), F.count(F.when(F.col("whole"), 1)).alias("n_whole"), F.count(F.when(~F.col("whole"), 1)).alias("n_near"))
-        .filter(F.greatest("n_whole", "n_near") >= min_contexts)
+    source = docs.select(text_of(text).alias("text"), F.xxhash64(text_of(text)).alias("content"))
+    pairs = cut_lineage(
+        source.mapInArrow(_pairs(wanted, size), "entity string, term string, content bigint").groupBy("entity", "term", "content").agg(F.count(F.lit(1)).alias("n"))
+    )
+    wanted.destroy()
+    both = cut_lineage(
+        _with_family(pairs, related, F.struct("entity", "term")).groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count_distinct("family").alias("n_families"))
+        .filter(F.col("n_families") >= min_documents)
     )
-    both = cut_lineage(both)
     # Documents are counted for the terms that are left, not for all words there are.
     candidates = both.select(F.xxhash64("term").alias("h")).distinct()
     size = bitmap.size_for(candidates.count())
@@ -281,45 +285,53 @@ def rules(found: DataFrame, docs: DataFrame, text: str, near: int, generalise: f
     held = docs.select(text_of(text).cast("binary").alias("text")).mapInArrow(_held_words(asked, size), "term string, n bigint")
     terms = cut_lineage(held.groupBy("term").agg(F.sum("n").alias("n_term")))
     asked.destroy()
-    wanted.destroy()
     own = F.log(total / F.col("n_entity"))
     shared = F.log(F.col("n_both") * total / (F.col("n_term") * F.col("n_entity")))
     return (
-        both.join(entities, "entity").join(terms, "term").withColumn("disclosure", F.when(own > 0, shared / own).otherwise(0.0))
+        lookup(both, entities.join(both.groupBy("entity").agg(F.count(F.lit(1)).alias("n_rows")), "entity"), ["entity"], "n_rows", both.count(), F.col("term"))
+        # The filter may have let through an entity that has no rule.
+        .filter("n_entity IS NOT NULL").join(terms, "term").withColumn("disclosure", F.when(own > 0, shared / own).otherwise(0.0))
         .filter(F.col("disclosure") >= generalise)
-        .select("entity", "term", "n_both", F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise").alias("action"))
+        .select("entity", "term", "n_both", "disclosure", F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise").alias("action"))
     )
 
 
+def _cleaned(text: str, base: list[dict], terms: list[dict]) -> str:
+    """The text with matches replaced by their kind, and terms by their class or nothing; what overlaps an earlier one adds nothing."""
+    found = [(s["start"], s["end"], f"[{KINDS[s['kind']].upper()}]") for s in base]
+    found += [(s["start"], s["end"], "" if s["action"] == "remove" else "[TERM]") for s in terms]
+    parts, at = [], 0
+    for start, end, by in sorted(found):
+        if start >= at:
+            parts += [text[at:start], by]
+        at = max(at, end)
+    return "".join([*parts, text[at:]])
+
+
 def _clean(text: Column, base: Column, terms: Column) -> Column:
-    """The text with matches replaced by their kind, and terms by their class or nothing."""
-    replaced = F.array_sort(F.concat(
-        F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), F.upper(F.get(F.array(*map(F.lit, KINDS)), s["kind"])), F.lit("]")).alias("by"))),
-        F.transform(terms, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["action"] == "remove", "").otherwise("[TERM]").alias("by"))),
-    ))
-    empty = F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS ARRAY<STRING>)").alias("parts"))
-    step = F.aggregate(replaced, empty, lambda acc, s: F.struct(
-        F.greatest(acc["at"], s["end"]).alias("at"),
-        F.when(s["start"] >= acc["at"], F.concat(acc["parts"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), s["by"]))).otherwise(acc["parts"]).alias("parts"),
-    ), lambda acc: F.concat_ws("", F.concat(acc["parts"], F.array(F.substring(text, acc["at"] + 1, F.char_length(text))))))
-    return F.when(F.size(replaced) == 0, text).otherwise(step)
+    @F.arrow_udf("string")
+    def run(texts: pa.Array, matches: pa.Array, words: pa.Array) -> pa.Array:
+        return pa.array([_cleaned(t.as_py(), b.as_py(), w.as_py()) for t, b, w in zip(texts, matches, words)], pa.string())
+
+    return run(text, base, terms)
 
 
 def sanitise(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", near: int = 5, generalise: float = 0.8, remove: float = 0.95, min_contexts: int = 3, clean: bool = True,
+    docs: DataFrame, key: str = "doc_id", text: str = "text", generalise: float = 0.8, remove: float = 0.95, min_documents: int = 3, clean: bool = True,
 ) -> DataFrame:
     """``docs`` with n_email, n_ip, n_card, n_phone, n_term, base_spans, term_spans and, if ``clean``, clean_text."""
     docs = docs.drop(*ADDED)
     content = F.xxhash64(text_of(text))
-    # Scanned once and stored: spans and surroundings of matches, a small part of the texts.
-    found = cut_lineage(docs.select(F.col(key).alias("id"), content.alias("content"), _scan(near)(text_of(text)).alias("scan"), F.monotonically_increasing_id().alias("row")))
-    disclosed = cut_lineage(rules(found, docs, text, near, generalise, remove, min_contexts).groupBy("term").agg(F.max("action").alias("action")))
+    # Scanned once and stored: spans of matches and sketches of texts that have some, a small part of the texts.
+    found = cut_lineage(docs.select(F.col(key).alias("id"), content.alias("content"), _scan()(text_of(text)).alias("scan"), F.monotonically_increasing_id().alias("row")))
+    disclosed = cut_lineage(rules(found, docs, text, generalise, remove, min_documents).groupBy("term").agg(F.max("action").alias("action")))
     size = bitmap.size_for(disclosed.count())
     wanted = bitmap.build(disclosed.select(F.xxhash64("term").alias("h")), size)
     kind = found.schema["id"].dataType.simpleString()
     source = docs.select(F.col(key).alias("id"), content.alias("content"), text_of(text).cast("binary").alias("text"))
     mentions = source.mapInArrow(_marked(wanted, size), f"id {kind}, content bigint, term string, start int, end int")
     mentions = source.sparkSession.createDataFrame([], mentions.schema) if disclosed.isEmpty() else cut_lineage(mentions)
+    wanted.destroy()
     facts = disclosed.join(mentions.groupBy("term").agg(F.count(F.lit(1)).alias("n_rows")), "term")
     terms = (
         lookup(mentions, facts, ["term"], "n_rows", mentions.count(), F.struct("content", "start")).filter("action IS NOT NULL")

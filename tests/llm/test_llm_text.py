@@ -452,3 +452,75 @@ def test_terms_far_from_the_entity(spark):
         assert [(s.start, s.end) for s in r.term_spans if r.text[s.start : s.end].lower() != "owl"] == want, r.text[:80]
         assert "bluebird" not in r.clean_text.lower() and ("owl" not in r.text or not r.term_spans)
     assert sum(r.n_term for r in got) == 41
+
+
+def _plain_families(texts):
+    """Texts linked by half of their five-word shingles or more, by comparing all pairs."""
+    shingles = []
+    for text in texts:
+        words = pii._WORD.findall(text.translate(pii._LOWER))
+        shingles.append({tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))})
+    family = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(shingles[i] & shingles[j]) * 2 >= len(shingles[i] | shingles[j]):
+                old, new = max(family[i], family[j]), min(family[i], family[j])
+                family = [new if f == old else f for f in family]
+    return family
+
+
+def _plain_rules(texts, generalise=0.8, remove=0.95, min_documents=3):
+    """Disclosure of every pair of entity and term, from sets of documents."""
+    family = _plain_families(texts)
+    entities, terms = {}, {}
+    for i, text in enumerate(texts):
+        for s in plain_spans(text):
+            entities.setdefault(pii._entity(text, *s), set()).add(i)
+        for word in pii._WORD.findall(text.translate(pii._LOWER)):
+            if len(word) >= 3 and not word.isdigit():
+                terms.setdefault(word, set()).add(i)
+    out = {}
+    for entity, own in entities.items():
+        for term, held in terms.items():
+            both = own & held
+            if len({family[i] for i in both}) >= min_documents and len(own) < len(texts):
+                shown = np.log(len(both) * len(texts) / (len(held) * len(own))) / np.log(len(texts) / len(own))
+                if shown >= generalise:
+                    out[entity, term] = (len(both), "remove" if shown >= remove else "generalise", round(float(shown), 9))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_disclosure_against_brute_force(spark, seed):
+    """Every rule with its documents, action and disclosure; near copies, also of three different edits, are one document."""
+    rng = random.Random(seed)
+    common_words = [f"w{k}x" for k in range(40)]
+    filler = lambda n: [rng.choice(common_words) for _ in range(n)]
+    texts = []
+    for k in range(12):
+        address, name = f"person{k}@site{k % 4}.example", f"name{k}"
+        for _ in range(rng.randint(2, 8)):
+            texts.append(" ".join([*filler(30), name if rng.random() < 0.9 else "nobody", *filler(30), address, *filler(rng.randint(0, 30))]))
+        # Some names are also known without the address.
+        texts += [" ".join([*filler(40), name, *filler(20)]) for _ in range(rng.choice([0, 0, 1, 4]))]
+    for k in range(3):
+        body = [*filler(120), f"rare{k}", f"copy{k}@mirror.example", *filler(120)]
+        for _ in range(6):
+            edited = list(body)
+            edited[rng.randrange(100, 120)] = f"edit{rng.randrange(10**6)}"
+            texts.append(" ".join(edited))
+    texts += [" ".join(filler(60)) for _ in range(60)] + ["short one@two.example", "", "one@two.example"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    found = docs.select("doc_id", F.xxhash64("text").alias("content"), pii._scan()("text").alias("scan"))
+    got = {(r.entity, r.term): (r.n_both, r.action, round(r.disclosure, 9)) for r in pii.rules(found, docs, "text", 0.8, 0.95, 3).collect()}
+    want = _plain_rules(texts)
+    assert got == want
+    assert any(t.startswith("name") for _, t in want) and not any(t.startswith("rare") for _, t in want) and {a for _, a, _ in want.values()} == {"remove", "generalise"}
+
+
+def test_cleaned_text_of_many_matches():
+    """Overlaps count once, and the work is linear in the matches."""
+    text = "a@b.c x " * 50_000
+    base = [{"start": 8 * i, "kind": 0, "end": 8 * i + 5} for i in range(50_000)] + [{"start": 1, "kind": 1, "end": 4}]
+    assert pii._cleaned(text, base, [{"start": 6, "end": 7, "action": "remove"}]) == "[EMAIL]  " + "[EMAIL] x " * 49_999
+    assert pii._cleaned("", [], []) == ""
