@@ -5,8 +5,9 @@ term discloses about one is measured over whole documents: the pointwise mutual
 term and entity, as a share of the entity's own information (1: the term never occurs without the
 entity). Where terms reach ``generalise`` of it they are replaced by their class, from ``remove`` on they are deleted.
 
-Near copies are one piece of evidence: a rule needs ``min_documents`` documents with both entity and term that are not near copies of
-each other. Documents with matches are sketched by least hashes of their five-word shingles, ``ROWS`` to a band; texts that share a
+Copies are one piece of evidence: a rule needs ``min_documents`` documents with both entity and term that are not near copies of
+each other, and as many that differ in the ``NEAR`` words around the entity or around the term (where each stands first, entities within
+``AROUND`` characters), so that a passage found in many documents counts once. Documents with matches are sketched by least hashes of their five-word shingles, ``ROWS`` to a band; texts that share a
 band, and texts reachable over such links, are one family (similarity 0.8 shares one of the ``BANDS`` bands in 99.8 % of cases,
 0.2 in 2 %). Merging too much can only withhold a rule.
 
@@ -46,6 +47,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[0-9A-Za-z\u0080-\U0010FFFF]+")
 _NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 _LOWER = str.maketrans(UPPER, LOWER)
+#: Words on each side that tell passages apart, and the characters in which those of an entity are looked for.
+NEAR, AROUND = 5, 400
 #: Words of a shingle; bands of a sketch and least hashes in each.
 SHINGLE, BANDS, ROWS = 5, 12, 4
 _NUMBERS = np.random.default_rng(5).integers(0, 1 << 64, SHINGLE + 2 * BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -156,22 +159,38 @@ def _is_term(word: str) -> bool:
     return len(word) >= 3 and not word.isdigit()
 
 
+def _surroundings(text: str, start: int, end: int) -> str:
+    before, after = _WORD.findall(text, max(0, start - AROUND), start), _WORD.findall(text, end, end + AROUND)
+    return " ".join(before[-NEAR:] + ["\n"] + after[:NEAR]).translate(_LOWER)
+
+
 def _pairs(wanted, size: int):
-    """Each entity that the filter may hold with every term of the document, once."""
+    """Each entity that the filter may hold with every term of the document, once; and the hash of both surroundings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
         for batch in batches:
             for text, content in zip(batch.column(0), batch.column(1).to_pylist()):
-                text = text.as_py()
-                own = list({_entity(text, *s) for s in base_spans(text)})
+                text, first_span = text.as_py(), {}
+                for span in base_spans(text):
+                    first_span.setdefault(_entity(text, *span), span)
+                own = list(first_span)
                 own = [e for e, held in zip(own, _may_hold(bits, size, [e.encode() for e in own])) if held]
                 if not own:
                     continue
-                terms = pa.array([w for w in set(_WORD.findall(text.translate(_LOWER))) if _is_term(w)], pa.string())
+                words, first = _WORD.findall(text.translate(_LOWER)), {}
+                for i, word in enumerate(words):
+                    if word not in first and _is_term(word):
+                        first[word] = " ".join(words[max(0, i - NEAR) : i] + ["\n"] + words[i + 1 : i + 1 + NEAR])
+                terms = pa.array(list(first), pa.string())
                 same = pa.array([content] * len(terms), pa.int64())
                 for entity in own:
-                    yield pa.RecordBatch.from_arrays([pa.array([entity] * len(terms), pa.string()), terms, same], ["entity", "term", "content"])
+                    start, _, end = first_span[entity]
+                    around = _surroundings(text, start, end)
+                    context = [xxhash.xxh64_intdigest(f"{around}\n{c}") - (1 << 63) for c in first.values()]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([entity] * len(terms), pa.string()), terms, same, pa.array(context, pa.int64())], ["entity", "term", "content", "context"]
+                    )
 
     return run
 
@@ -271,12 +290,13 @@ def rules(found: DataFrame, docs: DataFrame, text: str, generalise: float, remov
     wanted = bitmap.build(entities.select(F.xxhash64("entity").alias("h")), size)
     source = docs.select(text_of(text).alias("text"), F.xxhash64(text_of(text)).alias("content"))
     pairs = cut_lineage(
-        source.mapInArrow(_pairs(wanted, size), "entity string, term string, content bigint").groupBy("entity", "term", "content").agg(F.count(F.lit(1)).alias("n"))
+        source.mapInArrow(_pairs(wanted, size), "entity string, term string, content bigint, context bigint")
+        .groupBy("entity", "term", "content").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("context"))
     )
     wanted.destroy()
     both = cut_lineage(
-        _with_family(pairs, related, F.struct("entity", "term")).groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count_distinct("family").alias("n_families"))
-        .filter(F.col("n_families") >= min_documents)
+        _with_family(pairs, related, F.struct("entity", "term")).groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count_distinct("family").alias("n_families"), F.count_distinct("context").alias("n_contexts"))
+        .filter(F.least("n_families", "n_contexts") >= min_documents)
     )
     # Documents are counted for the terms that are left, not for all words there are.
     candidates = both.select(F.xxhash64("term").alias("h")).distinct()
