@@ -336,6 +336,11 @@ def _clean(text: Column, base: Column, terms: Column) -> Column:
     return run(text, base, terms)
 
 
+def _of_kind(kind: int):
+    # One parameter only: Spark hands a second one, also one with a default, the index of the element.
+    return lambda span: span["kind"] == kind
+
+
 def sanitise(
     docs: DataFrame, key: str = "doc_id", text: str = "text", generalise: float = 0.8, remove: float = 0.95, min_documents: int = 3, clean: bool = True,
 ) -> DataFrame:
@@ -363,7 +368,7 @@ def sanitise(
     results = found.select("id", "content", F.col("scan.spans").alias("base_spans")).dropDuplicates(["id", "content"]).join(
         terms.withColumnsRenamed({"id": "tid", "content": "tcontent"}), F.col("id").eqNullSafe(F.col("tid")) & (F.col("content") == F.col("tcontent")), "left"
     ).select("id", "content", "base_spans", F.coalesce("term_spans", none).alias("term_spans"))
-    counts = [F.size(F.filter("base_spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{KINDS[k]}") for k in range(4)]
+    counts = [F.size(F.filter("base_spans", _of_kind(k))).cast("bigint").alias(f"n_{KINDS[k]}") for k in range(4)]
     joined = docs.withColumn("_content", content).join(results, F.col(key).eqNullSafe(F.col("id")) & (F.col("_content") == F.col("content")))
     out = joined.select(*docs.columns, *counts, F.size("term_spans").cast("bigint").alias("n_term"), "base_spans", "term_spans")
     return out.withColumn("clean_text", _clean(text_of(text), F.col("base_spans"), F.col("term_spans"))) if clean else out

@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from cohortspark.llm import bitmap, common, decontam, exact, lines, pii, simhash, suffix
+from cohortspark.llm import queries as llm_queries
 from cohortspark.llm.components import connected_components
 
 SCHEMA = "doc_id bigint, text string, lang string, kept string, group_size string, n_hit string, spans string"
@@ -438,6 +439,19 @@ def test_terms_that_disclose(spark):
     assert pii.sanitise(make(spark, [])).count() == 0
 
 
+def test_matches_are_counted_by_kind(spark, tmp_path):
+    """The counts of the query, several matches of each kind in any order."""
+    rng = random.Random(21)
+    parts = ["a@b.co", "1.2.3.4", "4111 1111 1111 1111", "+1 (555) 555-1234", "owl", "300.1.1.1", "x"]
+    texts = [None, "", *parts, *(" , ".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(60))]
+    make(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    for r in llm_queries.op2_personal_data(spark, str(tmp_path)).collect():
+        found = plain_spans(texts[r.doc_id] or "")
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == own for _, k, _ in found) for own in range(4)], texts[r.doc_id]
+        joined = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in found)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+
+
 def test_terms_far_from_the_entity(spark):
     """A name at the top discloses the address at the foot, and is marked further down and where the address is not written."""
     rng = random.Random(11)
