@@ -110,7 +110,7 @@ def q_membership_shuffled(spark, sf_dir):
 @query
 def q_membership_sweep(spark, sf_dir):
     """The sweep: every interval is two steps, one of them over a whole contig; cells of 128 bp carry what is open."""
-    sets = fx.site_sets(spark, sf_dir).union(spark.sql("SELECT 'WHOLE', 'chr7', 1, 100000000"))
+    sets = fx.site_sets(spark, sf_dir).union(spark.sql("SELECT 'WHOLE', 'chr7', 0, 100000000"))
     return membership.sweep_membership(fx.calls(spark, sf_dir), sets, cell_bp=128)
 
 
