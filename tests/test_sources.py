@@ -2,10 +2,12 @@ import gzip
 import random
 import struct
 import zlib
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks import fixtures as fx
 from cohortspark.operators import calls as call_ops
 from cohortspark.operators.samples import wanted_words
 from cohortspark.sources import blocks, callset, files, intervals, labels, results, zones
@@ -182,6 +184,27 @@ def test_heads_stop_at_the_header(spark, tmp_path):
     assert heads["a.vcf.gz"].head == HEADER[1] and heads["empty.vcf.gz"].head is None and not heads["empty.vcf.gz"].filled
 
 
+def _lines_per_file(glob_of):
+    folder, pattern = glob_of.rsplit("/", 1)
+    found = [f for d in Path(folder.removeprefix("file:")).glob(pattern) for f in d.glob("part-*")]
+    return [(gzip.decompress(f.read_bytes()) if f.suffix == ".gz" else f.read_bytes()).decode().splitlines() for f in found]
+
+
+def test_shards_grow_with_the_lines(spark, tmp_path, monkeypatch):
+    """Every shard is a file with a header and about its share of the lines, also with a column per customer."""
+    spark.range(600).selectExpr("CAST(id AS INT) AS p_partkey", "CAST(1 + id % 50 AS INT) AS p_size").write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(3).selectExpr("CAST(id AS INT) AS n_nationkey", "concat('N', id) AS n_name").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(40).selectExpr("CAST(id AS INT) AS c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(90).selectExpr("CAST(id AS INT) AS s_suppkey", "CAST(id % 3 AS INT) AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    monkeypatch.setattr(fx, "SHARD_LINES", 30)
+    monkeypatch.setattr(fx, "SHARD_CELLS", 400)
+    for glob_of, files, lines, head in ((fx.write_vcf(spark, str(tmp_path)), 20, 600, 2), (fx.write_wide_vcf(spark, str(tmp_path)), 9, 90, 1)):
+        held = _lines_per_file(glob_of)
+        assert len(held) == files and all(f[head - 1].startswith("#CHROM") for f in held)
+        bodies = [[x for x in f if not x.startswith("#")] for f in held]
+        assert sum(map(len, bodies)) == lines == len({x for b in bodies for x in b}) and max(map(len, bodies)) < 2.5 * lines / files
+
+
 def test_samples_are_chosen_before_cells_are_read(spark, text_file):
     path = text_file("a.vcf", *HEADER, *LINES)
     wanted = spark.createDataFrame([("s3",), ("s1",), ("s1",), ("elsewhere",)], "sample_id string")
