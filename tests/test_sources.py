@@ -205,6 +205,27 @@ def test_shards_grow_with_the_lines(spark, tmp_path, monkeypatch):
         assert sum(map(len, bodies)) == lines == len({x for b in bodies for x in b}) and max(map(len, bodies)) < 2.5 * lines / files
 
 
+def test_wide_shards_are_few_and_packed(spark, tmp_path, monkeypatch):
+    """Keys without a pattern: every line is there once, in gzip files that take far less than their text, few of them however many cells there are."""
+    customers, suppliers = sorted(random.Random(5).sample(range(100_000), 400)), random.Random(6).sample(range(100_000), 200)
+    spark.createDataFrame([(c,) for c in customers], "c_custkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(s, s % 25) for s in suppliers], "s_suppkey int, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    monkeypatch.setattr(fx, "SHARD_CELLS", 100)
+    glob_of = fx.write_wide_vcf(spark, str(tmp_path))
+    most = fx.SHARDS_A_CORE * spark.sparkContext.defaultParallelism
+    held = _lines_per_file(glob_of)
+    head = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t" + "\t".join(map(str, customers))
+    assert len(held) == most and all(f[0] == head for f in held)
+
+    def line(s):
+        cells = [fx.WIDE_GENOTYPES[(s + 3 * c) % 7] + (":LowGQ" if (s + c) % 5 == 0 else ":PASS") for c in customers]
+        return "\t".join([f"chr{1 + s % 25 % 22}", str(10 + s), ".", "A", "C" if s % 2 else "G", "9", "PASS", ".", "GT:FT", *cells])
+
+    assert sorted(x for f in held for x in f[1:]) == sorted(map(line, suppliers))
+    folder = Path(glob_of.rsplit("/", 1)[0].removeprefix("file:"))
+    assert 4 * sum(f.stat().st_size for f in folder.rglob("part-*")) < sum(len(x) + 1 for f in held for x in f)
+
+
 def test_samples_are_chosen_before_cells_are_read(spark, text_file):
     path = text_file("a.vcf", *HEADER, *LINES)
     wanted = spark.createDataFrame([("s3",), ("s1",), ("s1",), ("elsewhere",)], "sample_id string")
