@@ -226,6 +226,16 @@ def test_wide_shards_are_few_and_packed(spark, tmp_path, monkeypatch):
     assert 4 * sum(f.stat().st_size for f in folder.rglob("part-*")) < sum(len(x) + 1 for f in held for x in f)
 
 
+def test_wide_shards_are_read_by_few_tasks(spark, tmp_path, monkeypatch):
+    """Each task that reads sends its own counts of every sample, so tasks don't grow with the cells."""
+    spark.range(40).selectExpr("CAST(id AS INT) AS c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(600).selectExpr("CAST(id AS INT) AS s_suppkey", "CAST(id % 25 AS INT) AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    monkeypatch.setattr(fx, "SHARD_CELLS", 40)
+    data = read_vcf(spark, fx.write_wide_vcf(spark, str(tmp_path)))
+    assert data.sites.rdd.getNumPartitions() <= fx.SHARDS_A_CORE * spark.sparkContext.defaultParallelism
+    assert data.sites.select("pos").distinct().count() == 600 and data.samples.count() == 40
+
+
 def test_samples_are_chosen_before_cells_are_read(spark, text_file):
     path = text_file("a.vcf", *HEADER, *LINES)
     wanted = spark.createDataFrame([("s3",), ("s1",), ("s1",), ("elsewhere",)], "sample_id string")
